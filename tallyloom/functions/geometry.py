@@ -1,4 +1,4 @@
-"""Distances between two-dimensional integer points."""
+"""Squared distances between two-dimensional integer points."""
 
 from __future__ import annotations
 
@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 Point = tuple[int, int]
 
 
-def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    dx = x1.cast("double") - x2.cast("double")
-    dy = y1.cast("double") - y2.cast("double")
-    return dx * dx + dy * dy
-
-
 def means_distance(old: Sequence[Point], new: Sequence[Point]) -> float:
     """Sum of squared distances between two mean lists of the same length."""
     if len(old) != len(new):
@@ -23,39 +17,36 @@ def means_distance(old: Sequence[Point], new: Sequence[Point]) -> float:
     return float(sum((a - c) ** 2 + (b - d) ** 2 for (a, b), (c, d) in zip(old, new)))
 
 
-def nearest_center(x: Column, y: Column, centers: Sequence[Point]) -> Column:
-    """Index of the closest centre; on a tie the lowest index wins.
+def nearest_center(x: str, y: str, centers: Sequence[Point]) -> Column:
+    """Index of the closest centre for columns ``x`` and ``y``; on a tie the lowest index wins.
 
-    The centres fold into one array literal. Spark hands such a literal to the generated code by
-    reference, so successive rounds with other centres reuse the compiled code.
+    For many rows: the distances are plain arithmetic inside generated code, which compiles anew for
+    every list of centres. Written as SQL text, since a tree of column objects takes longer to
+    build than a round over compacted points takes to run.
     """
-    if not centers:
-        raise ValueError("at least one centre is needed")
-    table = F.array(
-        *[
-            F.struct(F.lit(index).alias("i"), F.lit(cx).alias("x"), F.lit(cy).alias("y"))
-            for index, (cx, cy) in enumerate(centers)
-        ]
-    )
-    candidates = F.transform(
-        table,
-        lambda c: F.struct(squared_distance(x, y, c["x"], c["y"]).alias("d"), c["i"].alias("i")),
-    )
-    return F.array_min(candidates)["i"]
+    distances = "array(" + ", ".join(_distance_sql(x, y, cx, cy) for cx, cy in _some(centers)) + ")"
+    return F.expr(f"cast(array_position({distances}, array_min({distances})) AS int) - 1")
 
 
-def nearest_center_flat(x: Column, y: Column, centers: Sequence[Point]) -> Column:
-    """The same index as plain arithmetic that stays inside generated code.
+def nearest_center_few(x: str, y: str, centers: Sequence[Point]) -> Column:
+    """The same index for few rows and many rounds.
 
-    For one pass over many uncompacted rows: it compiles anew for every list of centres but spares
-    the arrays of :func:`nearest_center`.
+    The centres are one array literal that is interpreted, so there is nothing to compile when
+    they change.
     """
+    table = ", ".join(
+        f"struct({i} AS i, {cx} AS x, {cy} AS y)" for i, (cx, cy) in enumerate(_some(centers))
+    )
+    ranked = f"struct({_distance_sql(x, y, 'c.x', 'c.y')} AS d, c.i AS i)"
+    return F.expr(f"array_min(transform(array({table}), c -> {ranked})).i")
+
+
+def _some(centers: Sequence[Point]) -> Sequence[Point]:
     if not centers:
         raise ValueError("at least one centre is needed")
-    ranked = [
-        F.struct(
-            squared_distance(x, y, F.lit(cx), F.lit(cy)).alias("d"), F.lit(index).alias("i")
-        )
-        for index, (cx, cy) in enumerate(centers)
-    ]
-    return (F.least(*ranked) if len(ranked) > 1 else ranked[0])["i"]
+    return centers
+
+
+def _distance_sql(x: str, y: str, cx, cy) -> str:
+    dx, dy = (f"(cast(`{a}` AS double) - cast({b} AS double))" for a, b in ((x, cx), (y, cy)))
+    return f"({dx} * {dx} + {dy} * {dy})"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.geometry import Point, means_distance, nearest_center
+from tallyloom.functions.geometry import Point, means_distance, nearest_center, nearest_center_few
 from tallyloom.functions.tokens import check_vocabulary, literal_array
 from tallyloom.operators.sampling import SEED, sample_stratified, sample_uniform
 
@@ -19,6 +20,8 @@ ETA = 20.0
 MAX_ITERATIONS = 120
 # Below this spread the topics lie so close that start points are drawn regardless of topic.
 STRATIFY_FROM = 500
+# Up to this many points a round is sooner interpreted than compiled.
+FEW_POINTS = 20_000
 
 REPORT_HEADER = (
     "Resulting clusters:",
@@ -82,11 +85,9 @@ def initial_means(
         if kernels % topics:
             raise ValueError("the number of kernels must be a multiple of the number of topics")
         share = kernels // topics
-        sample = sample_stratified(vectors, share, seed)
-        drawn = sample.orderBy("x", "rank").select("x", "y").collect()
-        sizes: dict[int, int] = {}
-        for x, _ in drawn:
-            sizes[x] = sizes.get(x, 0) + 1
+        sample = sample_stratified(vectors, share, seed).select("x", "rank", "y").collect()
+        drawn = [(x, y) for x, _, y in sorted(sample)]
+        sizes = Counter(x for x, _ in drawn)
         short = sorted(x // spread for x, n in sizes.items() if n < share)
         if short:
             raise ValueError(f"topics {short} have fewer than {share} vectors")
@@ -95,14 +96,15 @@ def initial_means(
     return [(x, y) for x, y in drawn]
 
 
-def assign(points: DataFrame, means: Sequence[Point]) -> DataFrame:
+def assign(points: DataFrame, means: Sequence[Point], few: bool = False) -> DataFrame:
     """The points with the index of their closest mean as ``cluster``."""
-    return points.withColumn("cluster", nearest_center(F.col("x"), F.col("y"), means))
+    closest = nearest_center_few if few else nearest_center
+    return points.withColumn("cluster", closest("x", "y", means))
 
 
-def cluster_means(points: DataFrame, means: Sequence[Point]) -> DataFrame:
+def cluster_means(points: DataFrame, means: Sequence[Point], few: bool = False) -> DataFrame:
     """``cluster, x, y, size``: whole-number mean of each cluster that has points."""
-    sums = assign(points, means).groupBy("cluster").agg(
+    sums = assign(points, means, few).groupBy("cluster").agg(
         F.sum(F.col("x") * F.col("wt")).alias("sx"),
         F.sum(F.col("y") * F.col("wt")).alias("sy"),
         F.sum("wt").alias("size"),
@@ -112,9 +114,10 @@ def cluster_means(points: DataFrame, means: Sequence[Point]) -> DataFrame:
     )
 
 
-def kmeans_step(points: DataFrame, means: Sequence[Point]) -> list[Point]:
-    """New means; a cluster without points keeps its old one."""
-    moved = {r["cluster"]: (r["x"], r["y"]) for r in cluster_means(points, means).collect()}
+def kmeans_step(points: DataFrame, means: Sequence[Point], few: bool = False) -> list[Point]:
+    """New means; a cluster without points keeps its old one. Collects one row per mean."""
+    rows = cluster_means(points, means, few).collect()
+    moved = {row["cluster"]: (row["x"], row["y"]) for row in rows}
     return [moved.get(index, old) for index, old in enumerate(means)]
 
 
@@ -131,11 +134,12 @@ def kmeans(
     Rounds count from ``start``. Each is one aggregation over the points that returns a row per
     mean; the means go back as literals, so the plan does not grow. Keep the points cached.
     """
+    few = points.count() <= FEW_POINTS
     history: list[Round] = []
     current = list(means)
     iteration = start
     while True:
-        new = kmeans_step(points, current)
+        new = kmeans_step(points, current, few)
         distance = means_distance(current, new)
         history.append(Round(iteration, distance, current, new))
         current = new

@@ -12,6 +12,8 @@ from tallyloom.operators.terms import block_number
 
 QUESTION, ANSWER = 1, 2
 NO_PARENT = -1
+# Two numbers per question are broadcast up to this many large questions (a few megabytes).
+BROADCAST_QUESTIONS = 100_000
 
 
 def split_postings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,20 +56,8 @@ def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFram
         .agg(F.count(F.lit(1)).alias("n"))
         .select("qid", F.ceil(F.col("n") / F.lit(block_answers)).cast("bigint").alias("blocks"))
     )
-    # Usually few questions or none are large: the adaptive planner broadcasts that side or drops
-    # the join when it sees the real size, and splits the skewed partitions otherwise.
-    large = sizes.where("blocks > 1")
-    blocked = (
-        _whole(answers, "answer", "parent_id")
-        .join(large, "qid", "left")
-        .select(
-            "qid",
-            block_number(F.col("answer.id"), F.coalesce("blocks", F.lit(1))).alias("block"),
-            "answer",
-        )
-        .groupBy("qid", "block")
-        .agg(F.sort_array(F.collect_list("answer")).alias("answers"))
-    )
+    blocked = _blocked_answers(answers, sizes.where("blocks > 1")).groupBy("qid", "block")
+    blocked = blocked.agg(F.sort_array(F.collect_list("answer")).alias("answers"))
     heads = (
         _whole(questions, "question", "id")
         .join(sizes, "qid")
@@ -80,6 +70,24 @@ def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFram
     return blocked.join(heads, ["qid", "block"]).select("qid", "block", "question", "answers")
 
 
+def _blocked_answers(answers: DataFrame, large: DataFrame) -> DataFrame:
+    """``qid, answer, block``, with blocks from 0 for the answers of large questions.
+
+    The count of large questions decides how they reach the answers: not at all if there are none,
+    as a broadcast up to a fixed number, and else by a join of its own, whose skewed partitions
+    the adaptive planner can split because the repartitioning behind it frees its output.
+    """
+    whole = _whole(answers, "answer", "parent_id")
+    known = large.limit(BROADCAST_QUESTIONS + 1).count()
+    if not known:
+        return whole.withColumn("block", F.lit(0).cast("bigint"))
+    few = known <= BROADCAST_QUESTIONS
+    joined = whole.join(F.broadcast(large) if few else large, "qid", "left")
+    block = block_number(F.col("answer.id"), F.coalesce("blocks", F.lit(1)))
+    numbered = joined.select("qid", "answer", block.alias("block"))
+    return numbered if few else numbered.repartition("qid", "block")
+
+
 def best_scores(answers: DataFrame) -> DataFrame:
     """``qid, high_score``: the best answer score per question, never below 0.
 

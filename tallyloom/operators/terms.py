@@ -117,8 +117,10 @@ def index_blocks(
     entries = index.groupBy("term", F.col(title).alias("title")).agg(
         F.count(F.lit(1)).alias("copies")
     )
+    # Counting by "copies" keeps that column here too, so both uses share one exchange.
+    titles = F.count_if(F.col("copies") > 0)
     sizes = entries.groupBy("term").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_titles)).cast("bigint").alias("blocks")
+        F.ceil(titles / F.lit(block_titles)).cast("bigint").alias("blocks")
     )
     if len(vocabulary) <= BROADCAST_TERMS:
         sizes = F.broadcast(sizes)

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.geometry import nearest_center_flat
+from tallyloom.functions.geometry import nearest_center as closest_center
 from tallyloom.operators import checks, kmeans as km, postings as po, relational as rel
 from tallyloom.operators import sampling, terms, timeuse
 from tallyloom.plans import tables
 from tallyloom.plans.jobs import PostingClusters, cluster_postings
-from tallyloom.scratch import new_path
+from tallyloom.scratch import new_path, written
 from tallyloom.sources import articles as article_source
 from tallyloom.sources import files
 from tallyloom.sources import postings as posting_source
@@ -270,21 +270,21 @@ def sample_stratified(spark, folder):
     return sampling.sample_stratified(_vectors(spark, folder), PER_TOPIC)
 
 
-def _start(vectors: DataFrame) -> list[tuple[int, int]]:
-    return km.initial_means(vectors, len(tables.TOPICS), KERNELS)
+def _start(spark: SparkSession, folder: str) -> tuple[DataFrame, list[tuple[int, int]]]:
+    vectors = written(_vectors(spark, folder), "vectors")
+    return vectors, km.initial_means(vectors, len(tables.TOPICS), KERNELS)
 
 
 @_query
 def nearest_center(spark, folder):
-    vectors = _vectors(spark, folder)
-    cluster = nearest_center_flat(F.col("x"), F.col("y"), _start(vectors))
-    return vectors.withColumn("cluster", cluster)
+    vectors, means = _start(spark, folder)
+    return vectors.withColumn("cluster", closest_center("x", "y", means))
 
 
 @_query
 def kmeans_step(spark, folder):
-    vectors = _vectors(spark, folder)
-    means = km.kmeans_step(km.compact(vectors), _start(vectors))
+    vectors, start = _start(spark, folder)
+    means = km.kmeans_step(km.compact(vectors), start)
     return km.Clustering(means, False).means_frame(spark)
 
 

@@ -26,7 +26,8 @@ def decode_postings(lines: DataFrame, column: str = "value") -> DataFrame:
     Fields are not quoted, fields past the sixth are ignored, empty fields at the end of a line
     count as absent, and a bad or missing number raises.
     """
-    fields = lines.select(F.split(F.rtrim(F.col(column), F.lit(",")), ",").alias("f"))
+    line = F.rtrim(F.col(column), F.lit(","))
+    fields = lines.select(F.split(line, ",", len(POSTING_SCHEMA) + 1).alias("f"))
 
     def field(index: int):
         return F.get("f", F.lit(index))
