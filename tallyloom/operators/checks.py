@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNEXPECTED, MISSING = "unexpected", "missing"
+# More ranges than this would make finding their bounds the larger job.
+MAX_RANGES = 4096
 
 
 def set_reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def order_check(
 ) -> DataFrame:
     """Neighbours in a group where the value rises: group, position, value and ``previous``.
 
-    Positions are distinct within a group. A group of more than ``max_window_rows`` rows would
+    Positions are numbers or times, distinct within a group. A group of more than ``max_window_rows`` rows would
     make one task sort them all; if there is one, the positions are cut into ranges of about that
     many rows, neighbours are compared within each range, and the ends of adjoining ranges are
     compared from one summary row per range.
@@ -45,8 +47,8 @@ def order_check(
     largest = counts.agg(F.max("n"), F.sum("n")).first()
     if largest[0] is None or largest[0] <= max_window_rows:
         return _rises(rows, group).select(*_shown(group, position, value))
-    ranges = -(-largest[1] // max_window_rows)
-    cut = _position_ranges(rows, int(ranges))
+    ranges = min(MAX_RANGES, -(-largest[1] // max_window_rows))
+    cut = _position_ranges(rows, ranges)
     inside = _rises(cut, [*group, "range"]).select(*_shown(group, position, value))
     return inside.unionByName(_range_ends(cut, group).select(*_shown(group, position, value)))
 

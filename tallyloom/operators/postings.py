@@ -51,43 +51,35 @@ def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFram
     question holding a large share of all answers over many tasks.
     """
     questions, answers = split_postings(postings)
-    sizes = (
-        answers.groupBy(F.col("parent_id").alias("qid"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("qid", F.ceil(F.col("n") / F.lit(block_answers)).cast("bigint").alias("blocks"))
+    share = F.ceil(F.count(F.lit(1)) / F.lit(block_answers)).cast("bigint")
+    sizes = answers.groupBy(F.col("parent_id").alias("qid")).agg(share.alias("blocks"))
+    large = sizes.where("blocks > 1")
+    known = large.limit(BROADCAST_QUESTIONS + 1).count()
+
+    def with_blocks(whole: DataFrame) -> DataFrame:
+        """The number of blocks: 1 but for large questions, which are few as a rule."""
+        if not known:
+            return whole.withColumn("blocks", F.lit(1).cast("bigint"))
+        marked = F.broadcast(large) if known <= BROADCAST_QUESTIONS else large
+        blocks = F.coalesce("blocks", F.lit(1).cast("bigint")).alias("blocks")
+        return whole.join(marked, "qid", "left").select(*whole.columns, blocks)
+
+    # The repartitioning, rather than the grouping, follows the join: its output is then free for
+    # the adaptive planner to split skewed partitions where the join is not a broadcast.
+    blocked = (
+        with_blocks(_whole(answers, "answer", "parent_id"))
+        .select("qid", "answer", block_number(F.col("answer.id"), F.col("blocks")).alias("block"))
+        .repartition("qid", "block")
+        .groupBy("qid", "block")
+        .agg(F.sort_array(F.collect_list("answer")).alias("answers"))
     )
-    blocked = _blocked_answers(answers, sizes.where("blocks > 1")).groupBy("qid", "block")
-    blocked = blocked.agg(F.sort_array(F.collect_list("answer")).alias("answers"))
-    heads = (
-        _whole(questions, "question", "id")
-        .join(sizes, "qid")
-        .select(
-            "qid",
-            "question",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
-        )
+    every_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    heads = with_blocks(_whole(questions, "question", "id")).select(
+        "qid", "question", every_block.alias("block")
     )
     return blocked.join(heads, ["qid", "block"]).select("qid", "block", "question", "answers")
 
 
-def _blocked_answers(answers: DataFrame, large: DataFrame) -> DataFrame:
-    """``qid, answer, block``, with blocks from 0 for the answers of large questions.
-
-    The count of large questions decides how they reach the answers: not at all if there are none,
-    as a broadcast up to a fixed number, and else by a join of its own, whose skewed partitions
-    the adaptive planner can split because the repartitioning behind it frees its output.
-    """
-    whole = _whole(answers, "answer", "parent_id")
-    known = large.limit(BROADCAST_QUESTIONS + 1).count()
-    if not known:
-        return whole.withColumn("block", F.lit(0).cast("bigint"))
-    few = known <= BROADCAST_QUESTIONS
-    joined = whole.join(F.broadcast(large) if few else large, "qid", "left")
-    block = block_number(F.col("answer.id"), F.coalesce("blocks", F.lit(1)))
-    numbered = joined.select("qid", "answer", block.alias("block"))
-    return numbered if few else numbered.repartition("qid", "block")
-
-
 def best_scores(answers: DataFrame) -> DataFrame:
     """``qid, high_score``: the best answer score per question, never below 0.
 

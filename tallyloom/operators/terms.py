@@ -17,8 +17,14 @@ from tallyloom.functions.tokens import (
 
 # Up to this many terms are matched inside the scan; longer vocabularies are joined.
 INLINE_TERMS = 256
-# A per-term table is broadcast up to this many terms (a few megabytes).
-BROADCAST_TERMS = 50_000
+# A table with a row per term is broadcast up to this estimate of its size.
+BROADCAST_BYTES = 8 * 1024 * 1024
+
+
+def _if_small(frame: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """A frame with at most a row per term, marked for broadcast if the vocabulary is small."""
+    size = sum(64 + 4 * len(term) for term in vocabulary)
+    return F.broadcast(frame) if size <= BROADCAST_BYTES else frame
 
 
 def vocabulary_frame(spark: SparkSession, vocabulary: Sequence[str]) -> DataFrame:
@@ -48,7 +54,7 @@ def inverted_index(
         hits = mentioned_terms(F.col(text), terms)
         found = articles.select("*", F.explode_outer(hits).alias("term")).where("term IS NOT NULL")
     else:
-        known = vocabulary_frame(articles.sparkSession, terms).select("term")
+        known = _if_small(vocabulary_frame(articles.sparkSession, terms).select("term"), terms)
         found = _distinct_tokens(articles, text).join(known, "term")
     return found.select("term", *columns)
 
@@ -58,11 +64,11 @@ def mention_counts(
 ) -> DataFrame:
     """``term, n``: articles mentioning each vocabulary term, absent terms left out."""
     terms = check_vocabulary(vocabulary)
-    if len(terms) <= INLINE_TERMS:
+    known = vocabulary_frame(articles.sparkSession, terms).select("term")
+    if len(terms) <= INLINE_TERMS or _if_small(known, terms) is not known:
         return _count_terms(inverted_index(articles, terms, text))
-    # Count before the join: then either side holds one row per term, however frequent it is.
-    counts = _count_terms(_distinct_tokens(articles.select(text), text))
-    return counts.join(vocabulary_frame(articles.sparkSession, terms).select("term"), "term")
+    # Counted before the join, either side holds one row per term, however frequent it is.
+    return _count_terms(_distinct_tokens(articles.select(text), text)).join(known, "term")
 
 
 def _count_terms(found: DataFrame) -> DataFrame:
@@ -122,8 +128,7 @@ def index_blocks(
     sizes = entries.groupBy("term").agg(
         F.ceil(titles / F.lit(block_titles)).cast("bigint").alias("blocks")
     )
-    if len(vocabulary) <= BROADCAST_TERMS:
-        sizes = F.broadcast(sizes)
+    sizes = _if_small(sizes, vocabulary)
     entry = F.struct("title", "copies")
     return (
         entries.join(sizes, "term")

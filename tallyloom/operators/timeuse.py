@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -50,9 +48,17 @@ def classify_columns(names: Sequence[str]) -> ActivityColumns:
 
 
 def _hours(names: Sequence[str]) -> Column:
-    if not names:
-        return F.lit(0.0)
-    return reduce(operator.add, [F.col(f"`{name}`") for name in names]) / F.lit(60.0)
+    """Sum of minute columns, in hours.
+
+    Columns are added in pairs, then the pairs, and so on: a real survey has hundreds of them, and
+    one long chain of additions would be too deep for the analyser. Whole minutes add up exactly
+    in any order.
+    """
+    terms = [F.col(f"`{name}`") for name in names] or [F.lit(0.0)]
+    while len(terms) > 1:
+        paired = [a + b for a, b in zip(terms[::2], terms[1::2])]
+        terms = paired + terms[2 * len(paired) :]
+    return terms[0] / F.lit(60.0)
 
 
 def timeuse_summary(survey: DataFrame, groups: ActivityColumns | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 PER_TOPIC = 3
 KERNELS = PER_TOPIC * len(tables.TOPICS)
 # Small blocks, so that the test tables fill more than one.
-BLOCK_ANSWERS = 4
+BLOCK_ANSWERS = 8
 BLOCK_TITLES = 100
 
 _registered: dict[str, Query] = {}

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tallyloom.functions.checked import not_null
+from tallyloom.functions.checked import not_null_sql, quoted
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,9 +44,8 @@ def read_survey(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
         .csv(path)
     )
     first, *rest = names
-    identifier = F.coalesce(F.col(f"`{first}`"), F.lit("")).alias(first)
-    numbers = [not_null(F.col(f"`{name}`"), name).alias(name) for name in rest]
-    return names, raw.select(identifier, *numbers)
+    identifier = f"coalesce({quoted(first)}, '') AS {quoted(first)}"
+    return names, raw.selectExpr(identifier, *map(not_null_sql, rest))
 
 
 def read_inferred(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:

@@ -51,6 +51,15 @@ def test_a_bad_value_raises_once_its_column_is_used(spark, tmp_path):
         survey.select("t01").collect()
 
 
+def test_odd_column_names(spark, rows, tmp_path):
+    path = save(tmp_path, "s.csv", "id,it's.a `b`\\c,x y", "a,1,2", "b,3,")
+    names, survey = files.read_survey(spark, path)
+    assert survey.columns == names == ["id", "it's.a `b`\\c", "x y"]
+    assert rows(survey.select("id")) == [("a",), ("b",)]
+    with pytest.raises(Exception, match="x y must not be null"):
+        survey.collect()
+
+
 def test_inferred_types(spark, rows, tmp_path):
     names, frame = files.read_inferred(spark, save(tmp_path, "s.csv", "id,n,x", "a,1,1.5", "b,2,2"))
     assert names == ["id", "n", "x"]
@@ -97,6 +106,24 @@ def test_written_tables_land_in_the_shared_folder(spark, rows):
     assert all(f"{folder}/numbers-" in path for path in frame.inputFiles())
 
 
+def test_a_survey_of_hundreds_of_columns(spark, rows, tmp_path):
+    codes = [f"t{a:02d}{b:02d}{c:02d}" for a in range(1, 19) for b in range(1, 6) for c in range(1, 6)]
+    minutes = [str(i % 7) for i in range(len(codes))]
+    path = save(
+        tmp_path,
+        "wide.csv",
+        ",".join(["tucaseid", "telfs", "tesex", "teage", *codes]),
+        ",".join(["a", "1", "1", "30", *minutes]),
+    )
+    groups = timeuse.classify_columns(codes)
+    value = dict(zip(codes, map(int, minutes)))
+    _, survey = files.read_survey(spark, path)
+    hours = rows(timeuse.timeuse_summary(survey))[0][3:]
+    assert hours == tuple(sum(value[name] for name in group) / 60.0 for group in groups)
+    minutes_of = {n: m for n, _, m in rows(timeuse.activity_minutes(survey))}
+    assert minutes_of == value
+
+
 def test_survey_file_to_groups(spark, rows, tmp_path):
     path = save(
         tmp_path,

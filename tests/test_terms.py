@@ -119,7 +119,9 @@ def test_the_three_rankings_agree_with_brute_force(spark, rows):
     assert rows(terms.rank_index(index, vocabulary)) == found
 
 
-def test_long_vocabularies_are_joined_with_the_same_result(spark, rows, monkeypatch):
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**7])
+def test_long_vocabularies_are_joined_with_the_same_result(spark, rows, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", broadcast_bytes)
     data = random_articles(60)
     vocabulary = [f"w{i}" for i in range(300)]
     frame = articles(spark, data)

@@ -69,7 +69,7 @@ def test_the_three_routes_agree(spark, rows, summary):
     ]
     assert rows(timeuse.timeuse_grouped(doubled)) == expected
     assert rows(timeuse.timeuse_sql(doubled)) == expected
-    assert rows(timeuse.timeuse_sql(doubled, "other view")) == expected
+    assert rows(timeuse.timeuse_sql(doubled, "other_view")) == expected
     typed = timeuse.timeuse_typed(timeuse.timeuse_typed_rows(doubled))
     assert rows(typed) == expected
     assert typed.schema == timeuse.TIME_USAGE_SCHEMA
