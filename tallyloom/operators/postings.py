@@ -64,14 +64,16 @@ def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFram
         blocks = F.coalesce("blocks", F.lit(1).cast("bigint")).alias("blocks")
         return whole.join(marked, "qid", "left").select(*whole.columns, blocks)
 
-    # The repartitioning, rather than the grouping, follows the join: its output is then free for
-    # the adaptive planner to split skewed partitions where the join is not a broadcast.
-    blocked = (
-        with_blocks(_whole(answers, "answer", "parent_id"))
-        .select("qid", "answer", block_number(F.col("answer.id"), F.col("blocks")).alias("block"))
-        .repartition("qid", "block")
-        .groupBy("qid", "block")
-        .agg(F.sort_array(F.collect_list("answer")).alias("answers"))
+    numbered = with_blocks(_whole(answers, "answer", "parent_id")).select(
+        "qid", "answer", block_number(F.col("answer.id"), F.col("blocks")).alias("block")
+    )
+    if known > BROADCAST_QUESTIONS:
+        # A shuffled join leaves the answers partitioned by question, which would do for grouping
+        # but not for a question that is too large. Repartitioning also frees the join's output,
+        # so that the adaptive planner can split its skewed partitions.
+        numbered = numbered.repartition("qid", "block")
+    blocked = numbered.groupBy("qid", "block").agg(
+        F.sort_array(F.collect_list("answer")).alias("answers")
     )
     every_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     heads = with_blocks(_whole(questions, "question", "id")).select(

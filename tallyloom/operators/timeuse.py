@@ -80,8 +80,11 @@ def timeuse_summary(survey: DataFrame, groups: ActivityColumns | None = None) ->
 
 
 def timeuse_typed_rows(summary: DataFrame) -> DataFrame:
-    """The summary under its fixed schema; a frame that does not fit fails at analysis."""
-    return summary.to(TIME_USAGE_SCHEMA)
+    """The summary under its fixed schema; a frame that does not fit fails at analysis.
+
+    The columns are selected first, as a missing one would otherwise be filled with nulls.
+    """
+    return summary.select(*TIME_USAGE_SCHEMA.names).to(TIME_USAGE_SCHEMA)
 
 
 def timeuse_grouped(summary: DataFrame) -> DataFrame:
@@ -111,7 +114,7 @@ def timeuse_sql(summary: DataFrame, view: str = "summed") -> DataFrame:
 
 def timeuse_typed(rows: DataFrame) -> DataFrame:
     """Like :func:`timeuse_grouped`, from and to rows of the fixed schema."""
-    return timeuse_grouped(rows.to(TIME_USAGE_SCHEMA)).to(TIME_USAGE_SCHEMA)
+    return timeuse_typed_rows(timeuse_grouped(timeuse_typed_rows(rows)))
 
 
 def activity_minutes(survey: DataFrame) -> DataFrame:

@@ -72,7 +72,8 @@ def test_the_three_routes_agree(spark, rows, summary):
     assert rows(timeuse.timeuse_sql(doubled, "other_view")) == expected
     typed = timeuse.timeuse_typed(timeuse.timeuse_typed_rows(doubled))
     assert rows(typed) == expected
-    assert typed.schema == timeuse.TIME_USAGE_SCHEMA
+    fixed = [(f.name, f.dataType) for f in timeuse.TIME_USAGE_SCHEMA]
+    assert [(f.name, f.dataType) for f in typed.schema] == fixed
 
 
 def test_rows_that_do_not_fit_the_schema_fail(spark, summary):
