@@ -125,24 +125,30 @@ def posting_vectors(
 ) -> DataFrame:
     """``qid, x, y``: topic index times ``spread``, and best answer score.
 
-    Questions without a known topic or without an answer drop out. The topic is worked out before
-    the join, so unknown ones are never shuffled and the others travel as two numbers; copies of a
-    question collapse in the same exchange the join needs.
+    Questions without a known topic or without an answer drop out. Instead of joining questions
+    and answers, one aggregation brings both together by question: a single scan and a single
+    exchange of numbers, combined in each task first, so neither many answers to one question nor
+    copies of a question make a large partition.
     """
     terms = check_vocabulary(vocabulary)
     if spread <= 0 or spread * (len(terms) - 1) > 2**31 - 1:
         raise ValueError("spread must be positive and keep every x within 32 bits")
-    questions, answers = split_postings(postings)
-    topics = (
-        questions.select(F.col("id").alias("qid"), topic_position(F.col("tags"), terms).alias("t"))
-        .where("t >= 0")
-        .groupBy("qid")
-        .agg(F.min("t").alias("low"), F.max("t").alias("high"))
+    is_question = F.col("posting_type") == QUESTION
+    parent = F.when(F.col("posting_type") == ANSWER, F.col("parent_id"))
+    reduced = postings.select(
+        F.when(is_question, F.col("id")).otherwise(parent).alias("qid"),
+        F.when(is_question, topic_position(F.col("tags"), terms)).alias("topic"),
+        F.when(~is_question, F.col("score")).alias("answer_score"),
+    ).where((F.col("qid") != NO_PARENT) & (F.coalesce("topic", F.lit(0)) >= 0))
+    joined = reduced.groupBy("qid").agg(
+        F.min("topic").alias("low"), F.max("topic").alias("high"), F.max("answer_score").alias("best")
     )
     conflict = F.raise_error(
         F.concat(F.lit("different topics share question id "), F.col("qid").cast("string"))
     )
     topic = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(conflict.cast("int"))
-    return topics.join(best_scores(answers), "qid").select(
-        "qid", (topic * F.lit(spread)).alias("x"), F.col("high_score").alias("y")
+    return joined.where("low IS NOT NULL AND best IS NOT NULL").select(
+        "qid",
+        (topic * F.lit(spread)).alias("x"),
+        F.greatest("best", F.lit(0)).alias("y"),
     )

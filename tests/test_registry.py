@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from tallyloom.operators.postings import posting_pairs
 
 FOLDER = entry.SMOKE_FOLDER
 QUERIES = entry.queries()
@@ -50,10 +51,43 @@ def test_scans_read_only_what_is_used(spark):
 
 
 def test_answers_are_combined_before_the_shuffle(spark):
-    assert "partial_max(score" in plan(spark, "posting_vectors")
+    vectors = plan(spark, "posting_vectors")
+    assert "partial_max(answer_score" in vectors
+    assert vectors.count("Exchange") == 1 and "Join" not in vectors
+    assert "partial_max(score" in plan(spark, "posting_highscore")
     assert plan(spark, "sample_stratified").count("WindowGroupLimit") == 2
     assert "TakeOrderedAndProject" in plan(spark, "sample_uniform")
 
 
+def test_pairs_of_a_hot_question_are_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(200_000)
+        hot = ids.selectExpr(
+            "2 AS posting_type", "id + 1000000 AS id", "cast(null AS bigint) AS accepted_answer",
+            "if(id % 3 = 0, 7, id % 20000) AS parent_id", "1 AS score", "'a' AS tags",
+        )
+        questions = spark.range(20_000).selectExpr(
+            "1 AS posting_type", "id", "cast(null AS bigint) AS accepted_answer",
+            "cast(null AS bigint) AS parent_id", "1 AS score", "'b' AS tags",
+        )
+        pairs = posting_pairs(questions.unionByName(hot)).select("qid", "answer.id")
+        assert len(pairs.collect()) == 200_000
+        text = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in text
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_an_index_without_text_shuffles_nothing(spark):
     assert "Exchange" not in plan(spark, "inverted_index")
