@@ -75,9 +75,11 @@ def _position_ranges(rows: DataFrame, ranges: int) -> DataFrame:
     inner = measured.approxQuantile("_number", probabilities, 1.0 / (4 * ranges))
     splits = [float("-inf"), *sorted(set(inner)), float("inf")]
     bucketizer = Bucketizer(
-        splits=splits, inputCol="_number", outputCol="range", handleInvalid="keep"
+        splits=splits, inputCol="_number", outputCol="_range", handleInvalid="keep"
+    )
+    return bucketizer.transform(measured).select(
+        *rows.columns, F.col("_range").cast("int").alias("range")
     )
-    return bucketizer.transform(measured).drop("_number")
 
 
 def _range_ends(cut: DataFrame, group: Sequence[str]) -> DataFrame:

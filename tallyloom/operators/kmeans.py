@@ -23,6 +23,7 @@ STRATIFY_FROM = 500
 # Up to this many points a round is sooner interpreted than compiled.
 FEW_POINTS = 20_000
 
+# The text report's header and line format.
 REPORT_HEADER = (
     "Resulting clusters:",
     "  Score  Dominant language (%percent)  Questions",

@@ -91,6 +91,7 @@ MIXED = [
     (2, 16, None, None, 50, None),
     (2, 17, None, -1, 50, None),
     (2, 18, None, 99, 50, None),
+    (3, 19, None, 1, 70, "Java"),
 ]
 
 

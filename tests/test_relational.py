@@ -90,3 +90,14 @@ def test_row_extract(spark, rows, listings):
     assert rows(rel.row_extract(text, {"a": "int", "b": "double"})) == [(7, 2.5), (None, None)]
     with pytest.raises(Exception, match="not a valid int"):
         rel.row_extract(text, {"b": "int"}).collect()
+
+
+def test_showing_collecting_and_printing_a_schema(listings, capsys):
+    averages = rel.group_avg(listings, "zip", "price")
+    averages.orderBy("zip").show()
+    averages.printSchema()
+    printed = capsys.readouterr().out
+    assert "|30033|1000000.0|" in printed
+    assert " |-- zip: integer (nullable = true)" in printed
+    assert " |-- avg_price: double (nullable = true)" in printed
+    assert {r["zip"]: r["avg_price"] for r in averages.collect()} == {30033: 1e6, 30345: 6e5}
