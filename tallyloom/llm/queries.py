@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination
+from tallyloom.llm import decontamination, tokens
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+END_ID = 2
+
+
+@_query
+def op6_token_files(spark, folder):
+    files = tokens.write_tokens(_table(spark, folder, "documents"), tokenizer_path(), END_ID)
+    return tokens.read_tokens(files)
+
+
 @_query
 def op10_decontamination(spark, folder):
     found = decontamination.benchmark_matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
