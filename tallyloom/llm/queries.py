@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, tokens
+from tallyloom.llm import decontamination, mixing, tokens
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op4_mixing(spark, folder):
+    mixed = mixing.mixed_sizes(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
