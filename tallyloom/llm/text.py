@@ -53,11 +53,12 @@ def _power(base: int, n: int) -> np.ndarray:
 
 
 class Fingerprints:
-    """64-bit fingerprints of any byte ranges of one buffer, from prefix sums."""
+    """64-bit fingerprints of any ranges of one buffer of bytes or code points, from prefix sums."""
 
     def __init__(self, data: np.ndarray):
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_CODES[data] * _power(_BASE, len(data)), out=self.sums[1:])
+        codes = _CODES[data] if data.dtype == np.uint8 else mix((data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        np.cumsum(codes * _power(_BASE, len(data)), out=self.sums[1:])
         self.scale = _power(_INVERSE, len(data) + 1)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
