@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, mixing, tokens
+from tallyloom.llm import decontamination, language, mixing, tokens
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op2_language(spark, folder):
+    docs = _table(spark, folder, "documents")
+    labelled = language.label_languages(docs, language.fit_documents(docs))
+    return labelled.select(F.col("id").alias("doc_id"), language.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op4_mixing(spark, folder):
     mixed = mixing.mixed_sizes(_table(spark, folder, "documents"))
