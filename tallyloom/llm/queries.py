@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, language, mixing, tokens
+from tallyloom.llm import decontamination, jaccard, language, mixing, tokens
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ def op6_token_files(spark, folder):
     return tokens.read_tokens(files)
 
 
+@_query
+def op7_jaccard_join(spark, folder):
+    return jaccard.jaccard_components(_table(spark, folder, "documents"), jaccard.Rule(words=4, percent=85))
+
+
 @_query
 def op10_decontamination(spark, folder):
     found = decontamination.benchmark_matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
