@@ -35,8 +35,8 @@ BLOCK = 1 << 16
 MAGIC = b"TOKBITS1"
 TAIL = struct.Struct("<QQQII8s")
 # Encoded pieces a worker remembers, and documents' bytes encoded at once.
-REMEMBERED = 250_000
-ENCODE_BYTES = 4 << 20
+REMEMBERED = 400_000
+ENCODE_BYTES = 16 << 20
 
 
 def bits_for(vocabulary: int) -> int:
@@ -142,16 +142,41 @@ class TokenFile:
             first = last
 
 
-# White space beside a space, where cutting at the space could part what belongs together.
-_UNSAFE = re.compile(r"[\s᠎​﻿] | [\s᠎​﻿]")
+# Lead bytes of the UTF-8 forms of white space and joiners beyond ASCII.
+WIDE_SPACE = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE1, 0xA0), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80), (0xEF, 0xBB))
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+
+
+def _plain(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts in which no two white-space characters meet and none lies beyond ASCII, nor a NUL byte."""
+    n = len(data)
+    odd = data == 0
+    if n > 1:
+        blank = _BLANK[data]
+        odd[1:] |= blank[1:] & blank[:-1]
+        lead = np.flatnonzero(data[:-1] >= 0xC2)
+        pair = data[lead].astype(np.int32) << 8 | data[lead + 1]
+        odd[lead[np.isin(pair, [a << 8 | b for a, b in WIDE_SPACE])]] = True
+    seen = np.concatenate(([0], np.cumsum(odd)))
+    return seen[offsets[1:]] == seen[offsets[:-1]]
+
+
+_CONTROL_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f]")
+
+
+def _parts(text: str) -> list[str]:
+    """The parts between spaces, line ends being parts; a NUL marks those that follow no space."""
+    return ("\0" + text.replace("\n", " \n \0")).split(" ")
 
 
 class Encoder:
     """Ids of whole texts.
 
-    A byte-level tokenizer that starts a piece at every single space gives a text the ids of its
-    parts between spaces, so parts are encoded once and remembered, up to a bound. Any other
-    tokenizer, and any text with white space beside a space, is encoded whole.
+    A byte-level tokenizer that starts a piece at every single space and line end gives a text the ids of
+    its parts between them. Parts are encoded together, a line each, and remembered up to a bound; those
+    beyond it serve one call. Any other tokenizer, and any text where white space meets white space, is
+    encoded whole.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -164,30 +189,59 @@ class Encoder:
         described = json.loads(self.tokenizer.to_str())
         before = described.get("pre_tokenizer") or {}
         added = described.get("added_tokens") or []
+        line_end = self._encode(["\n"])[0]
+        self.line_end = np.frombuffer(line_end, self.kind)[0]
         self.by_parts = (
             before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
-            and described.get("normalizer") is None
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in added)
+            and described.get("normalizer") is None and len(line_end) == self.kind.itemsize
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in added)
         )
-        self.remembered, self.known = remembered, {}
+        self.remembered, self.known = remembered, {"\n": line_end}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if self.by_parts and not _UNSAFE.search(t) else None for t in texts]
-        if len(self.known) > self.remembered:
-            self.known.clear()
+    def _encode_lines(self, texts: list[str]) -> list[bytes]:
+        """Texts without line ends, white space at their end, or more than one space at their start."""
+        if not texts:
+            return []
+        ids = np.frombuffer(self._encode(["\n".join(texts)])[0], self.kind)
+        ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
+        if len(ends) != len(texts):
+            return self._encode(texts)
+        raw, size = ids.tobytes(), self.kind.itemsize
+        starts = np.concatenate(([0], ends[:-1] + 1)) * size
+        return [raw[a:b] for a, b in zip(starts.tolist(), (ends * size).tolist())]
+
+    def _learn(self, parts: list[str]) -> None:
+        """A part is marked by a NUL where it follows no space."""
+        marked = [p for p in parts if p[:1] == "\0" and len(p) > 1]
+        spaced = [p for p in parts if p and p[:1] != "\0"]
+        for group, texts in ((marked, [p[1:] for p in marked]), (spaced, [" " + p for p in spaced])):
+            # White space other than spaces could join the line ends put between the texts.
+            encode = self._encode if _CONTROL_SPACE.search("".join(texts)) else self._encode_lines
+            self.known.update(zip(group, encode(texts)))
+        self.known["\0"] = b""
+        self.known[""] = self._encode([" "])[0]
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Ids of texts given as UTF-8 bytes and offsets."""
+        raw = data.tobytes()
+        texts = [raw[a:b].decode("utf-8") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        plain = (_plain(data, offsets) if self.by_parts else np.zeros(len(texts), bool)).tolist()
         wanted = set()
-        for parts in split:
-            if parts is not None:
-                wanted.update(parts[1:])
-        heads = self._encode([t if parts is None else parts[0] for t, parts in zip(texts, split)])
+        for text, ok in zip(texts, plain):
+            if ok:
+                wanted.update(_parts(text))
         missing = list(wanted - self.known.keys())
-        self.known.update(zip(missing, self._encode([" " + p for p in missing])))
+        self._learn(missing)
+        whole = iter(self._encode([t for t, ok in zip(texts, plain) if not ok]))
         known = self.known.__getitem__
-        return [h if parts is None else h + b"".join(map(known, parts[1:])) for h, parts in zip(heads, split)]
+        found = [b"".join(map(known, _parts(t))) if ok else next(whole) for t, ok in zip(texts, plain)]
+        for part in missing[max(0, self.remembered - len(self.known) + len(missing)) :]:
+            self.known.pop(part, None)
+        return found
 
 
 _encoders: dict[str, Encoder] = {}
@@ -223,9 +277,8 @@ def write_tokens(
                 if writer is None:
                     uri, stream = storage.new_file(folder, "ids", ".tok")
                     writer = TokenWriter(stream, bits_for(max(encoder.vocabulary, end_id + 1)), block)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
                 end = np.array([end_id], encoder.kind).tobytes()
-                encoded = encoder(texts)
+                encoded = encoder(data, offsets)
                 counts = np.array([len(e) for e in encoded]) // encoder.kind.itemsize + 1
                 ids = np.frombuffer(b"".join(x for e in encoded for x in (e, end)), encoder.kind)
                 writer.add(rows.column(0).to_pylist(), ids, counts)
