@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, tokens
+from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, tokens
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op4_mixing(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_query
+def op5_secret_scan(spark, folder):
+    return secret_scan.secret_digest(secret_scan.find_secrets(_table(spark, folder, "documents")))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
