@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import text as tx
+from tallyloom.llm.letters import letter_words
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -76,24 +77,15 @@ WIDTH = BUCKETS + CHUNK
 _tables: list[np.ndarray] = []
 
 
-def _characters() -> list[np.ndarray]:
-    """Letter, small letter and script of every code point."""
+def _scripts() -> np.ndarray:
+    """The script of every code point."""
     if not _tables:
-        letter = np.zeros(0x110000, bool)
-        small = np.arange(0x110000, dtype=np.uint32)
-        for c in range(0x110000):
-            character = chr(c)
-            if character.isalpha():
-                letter[c] = True
-                lowered = character.lower()
-                if len(lowered) == 1:
-                    small[c] = ord(lowered)
         script = np.zeros(0x110000, np.uint8)
         for number, ranges in enumerate(SCRIPTS, 1):
             for low, high in ranges:
                 script[low : high + 1] = number
-        _tables.extend((letter, small, script))
-    return _tables
+        _tables.append(script)
+    return _tables[0]
 
 
 class Words(NamedTuple):
@@ -108,24 +100,19 @@ class Words(NamedTuple):
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
-    letter, small, script = _characters()
-    text = data.tobytes().decode("utf-8", "replace")
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    leading = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    places = leading[offsets] if len(points) == leading[-1] else offsets
-    inside = letter[points]
-    starts, ends, first = tx.words(inside.view(np.uint8), places, np.arange(256) == 1)
-    lowered = np.where(inside, small[points], np.uint32(32)).astype(np.uint64)
+    found = letter_words(data, offsets)
+    starts, ends, places, n = found.starts, found.ends, found.places, len(found.points)
+    lowered = found.points.astype(np.uint64)
     padded = np.concatenate(([32], lowered, [32])).astype(np.uint64)
     before, after = padded[:-2].copy(), padded[2:].copy()
-    cut = places[(places > 0) & (places < len(points))]
+    cut = places[(places > 0) & (places < n)]
     before[cut] = 32
     after[cut - 1] = 32
-    at = np.flatnonzero(inside)
+    at = np.flatnonzero(found.inside)
     grams = tx.mix((before[at] << np.uint64(42)) | (lowered[at] << np.uint64(21)) | after[at])
-    whole = tx.Fingerprints(lowered.astype(np.uint32)).of(starts, ends)
+    whole = tx.Fingerprints(found.points).of(starts, ends)
     buckets = np.uint64(BUCKETS - 1)
-    return Words(starts, ends, first, script[points[starts]], (grams & buckets).astype(np.int64), (whole & buckets).astype(np.int64)), places
+    return Words(starts, ends, found.first, _scripts()[found.points[starts]], (grams & buckets).astype(np.int64), (whole & buckets).astype(np.int64)), places
 
 
 def _lengths_sum(values: np.ndarray, words: Words) -> np.ndarray:

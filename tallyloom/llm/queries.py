@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, tokens
+from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, tokens, toxicity
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,15 @@ def op7_jaccard_join(spark, folder):
     return jaccard.jaccard_components(_table(spark, folder, "documents"), jaccard.Rule(words=4, percent=85))
 
 
+@_query
+def op8_toxicity(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, folder, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score_toxicity(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select(F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @_query
 def op10_decontamination(spark, folder):
     found = decontamination.benchmark_matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
