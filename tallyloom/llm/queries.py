@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, tokens, toxicity
+from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, suffixes, tokens, toxicity
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op8_toxicity(spark, folder):
     return scored.select(F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@_query
+def op9_suffix_dedup(spark, folder):
+    return suffixes.repeat_digest(suffixes.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text")))
+
+
 @_query
 def op10_decontamination(spark, folder):
     found = decontamination.benchmark_matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
