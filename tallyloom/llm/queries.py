@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, suffixes, tokens, toxicity
+from tallyloom.llm import decontamination, jaccard, language, mixing, neighbours, secret_scan, suffixes, tokens, toxicity
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_neighbours(spark, folder):
+    vectors = _table(spark, folder, "embeddings")
+    return neighbours.nearest_neighbours(vectors, lambda vec_id: vec_id % 20 == 0)
+
+
 @_query
 def op2_language(spark, folder):
     docs = _table(spark, folder, "documents")
