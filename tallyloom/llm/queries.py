@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, neighbours, secret_scan, suffixes, tokens, toxicity
+from tallyloom.llm import decontamination, jaccard, language, mixing, neighbours, secret_scan, suffixes, tokens, toxicity, warc
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op2_language(spark, folder):
     return labelled.select(F.col("id").alias("doc_id"), language.held_out("id").alias("held_out"), "lang_pred", "score")
 
 
+@_query
+def op3_warc(spark, folder):
+    archives = warc.write_archives(warc.with_revisits(_table(spark, folder, "pages")))
+    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query
 def op4_mixing(spark, folder):
     mixed = mixing.mixed_sizes(_table(spark, folder, "documents"))
