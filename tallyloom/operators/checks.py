@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 UNEXPECTED, MISSING = "unexpected", "missing"
-# More ranges than this would make finding their bounds the larger job.
-MAX_RANGES = 4096
+# Rows that share a range of positions, and so a task.
+RANGE_ROWS = 5_000_000
 
 
 def set_reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -29,28 +30,31 @@ def set_reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def order_check(
-    frame: DataFrame,
-    group: Sequence[str],
-    position: str,
-    value: str,
-    max_window_rows: int = 5_000_000,
+    frame: DataFrame, group: Sequence[str], position: str, value: str, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Neighbours in a group where the value rises: group, position, value and ``previous``.
 
-    Positions are numbers or times, distinct within a group. A group of more than ``max_window_rows`` rows would
-    make one task sort them all; if there is one, the positions are cut into ranges of about that
-    many rows, neighbours are compared within each range, and the ends of adjoining ranges are
-    compared from one summary row per range.
+    Positions are numbers, dates or timestamps, distinct within a group; null comes first. They are cut
+    into ranges of about ``range_rows`` rows. Neighbours are compared within each range of a group, and the first
+    row of each range with the last one of the range before, so no task sorts a whole large group.
+    Frames of fewer rows have one range and go the same way.
     """
+    ranks = _number(frame, position)
     rows = frame.select(*group, F.col(position).alias("pos"), F.col(value).alias("value"))
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.max("n"), F.sum("n")).first()
-    if largest[0] is None or largest[0] <= max_window_rows:
-        return _rises(rows, group).select(*_shown(group, position, value))
-    ranges = min(MAX_RANGES, -(-largest[1] // max_window_rows))
-    cut = _position_ranges(rows, ranges)
-    inside = _rises(cut, [*group, "range"]).select(*_shown(group, position, value))
-    return inside.unionByName(_range_ends(cut, group).select(*_shown(group, position, value)))
+    cut = _position_ranges(rows, ranks, max(1, -(-frame.count() // range_rows)))
+    inside = Window.partitionBy(*group, "range").orderBy("pos")
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = cut.select(
+        "*",
+        F.lag("value").over(inside).alias("before"),
+        (F.row_number().over(inside) == 1).alias("first"),
+        F.last("value").over(whole).alias("last"),
+    ).where("first OR before < value")
+    # Only first rows meet across ranges; the others keep to theirs.
+    apart = F.when(~F.col("first"), F.col("range"))
+    across = Window.partitionBy(*group, apart).orderBy("range")
+    previous = F.when(F.col("first"), F.lag("last").over(across)).otherwise(F.col("before"))
+    return seen.withColumn("previous", previous).where("previous < value").select(*_shown(group, position, value))
 
 
 def _shown(group: Sequence[str], position: str, value: str) -> list[Column]:
@@ -62,31 +66,32 @@ def _shown(group: Sequence[str], position: str, value: str) -> list[Column]:
     ]
 
 
-def _rises(rows: DataFrame, group: Sequence[str]) -> DataFrame:
-    along = Window.partitionBy(*group).orderBy("pos")
-    return rows.withColumn("previous", F.lag("value").over(along)).where("previous < value")
+def _number(frame: DataFrame, position: str) -> Column:
+    """The position as a number that never falls where the position rises."""
+    kind = frame.schema[position].dataType
+    if isinstance(kind, NumericType):
+        return F.col("pos").cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date("pos").cast("double")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros("pos").cast("double")
+    if isinstance(kind, TimestampNTZType):  # whole seconds of the wall clock
+        clock = F.hour("pos") * 3600 + F.minute("pos") * 60 + F.second("pos")
+        return F.unix_date(F.col("pos").cast("date")) * 86_400.0 + clock
+    raise ValueError(f"positions must be numbers, dates or timestamps, not {kind.simpleString()}")
 
 
-def _position_ranges(rows: DataFrame, ranges: int) -> DataFrame:
-    """Rows with a ``range`` number that rises with the position."""
-    number = F.col("pos").cast("double")
-    probabilities = [i / ranges for i in range(1, ranges)]
+def _position_ranges(rows: DataFrame, number: Column, ranges: int) -> DataFrame:
+    """Rows with a ``range`` number that rises with the position, -1 for null."""
     measured = rows.withColumn("_number", number)
-    inner = measured.approxQuantile("_number", probabilities, 1.0 / (4 * ranges))
-    splits = [float("-inf"), *sorted(set(inner)), float("inf")]
+    inner = []
+    if ranges > 1:
+        probabilities = [i / ranges for i in range(1, ranges)]
+        inner = measured.approxQuantile("_number", probabilities, 1.0 / (4 * ranges))
+    bounds = set(inner) - {float("inf"), float("-inf")} or {0.0}  # a bucketizer wants a bound at least
+    splits = [float("-inf"), *sorted(bounds), float("inf")]
     bucketizer = Bucketizer(
         splits=splits, inputCol="_number", outputCol="_range", handleInvalid="keep"
     )
-    return bucketizer.transform(measured).select(
-        *rows.columns, F.col("_range").cast("int").alias("range")
-    )
-
-
-def _range_ends(cut: DataFrame, group: Sequence[str]) -> DataFrame:
-    ends = cut.groupBy(*group, "range").agg(
-        F.min("pos").alias("pos"),
-        F.min_by("value", "pos").alias("value"),
-        F.max_by("value", "pos").alias("last"),
-    )
-    along = Window.partitionBy(*group).orderBy("range")
-    return ends.withColumn("previous", F.lag("last").over(along)).where("previous < value")
+    cut = F.when(F.col("pos").isNull(), F.lit(-1)).otherwise(F.col("_range").cast("int"))
+    return bucketizer.transform(measured).select(*rows.columns, cut.alias("range"))

@@ -20,8 +20,6 @@ ETA = 20.0
 MAX_ITERATIONS = 120
 # Below this spread the topics lie so close that start points are drawn regardless of topic.
 STRATIFY_FROM = 500
-# Up to this many points a round is sooner interpreted than compiled.
-FEW_POINTS = 20_000
 
 # The text report's header and line format.
 REPORT_HEADER = (
@@ -79,9 +77,14 @@ def initial_means(
     kernels: int = KERNELS,
     spread: int = SPREAD,
     seed: int = SEED,
+    stratify_from: int = STRATIFY_FROM,
 ) -> list[Point]:
-    """Start points drawn from the vectors, at most ``kernels`` rows collected."""
-    if spread < STRATIFY_FROM:
+    """Start points drawn from the vectors, at most ``kernels`` rows collected.
+
+    From a spread of ``stratify_from`` on, every topic gets its share of them; it says how far topics lie apart
+    and has nothing to do with the number of vectors.
+    """
+    if spread < stratify_from:
         drawn = sample_uniform(vectors, kernels, seed).select("x", "y").collect()
     else:
         if kernels % topics:
@@ -130,13 +133,15 @@ def kmeans(
     start: int = 1,
     max_iterations: int = MAX_ITERATIONS,
     eta: float = ETA,
+    few: bool = True,
 ) -> Clustering:
     """Rounds until the means move less than ``eta`` or round ``max_iterations`` is done.
 
     Rounds count from ``start``. Each is one aggregation over the points that returns a row per
     mean; the means go back as literals, so the plan does not grow. Keep the points cached.
+    With ``few`` distances are interpreted, which saves compiling each round; without it they are
+    compiled, which pays for points by the million. Both give the same means.
     """
-    few = points.count() <= FEW_POINTS
     history: list[Round] = []
     current = list(means)
     iteration = start

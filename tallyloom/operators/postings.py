@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import check_vocabulary, literal_array
 from tallyloom.operators.terms import block_number
+from tallyloom.scratch import written
 
 QUESTION, ANSWER = 1, 2
 NO_PARENT = -1
-# Two numbers per question are broadcast up to this many large questions (a few megabytes).
-BROADCAST_QUESTIONS = 100_000
 
 
 def split_postings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -36,7 +35,9 @@ def posting_pairs(postings: DataFrame) -> DataFrame:
 
     Stays flat, so nothing gathers the answers of one question. The answers are the left, streamed
     side: a question with very many of them is read once per task, and the adaptive skew join can
-    split it since no later operator fixes the partitioning.
+    split it as long as no later operator needs all pairs of a question together; grouping by ``qid``
+    right after it undoes the split. Every question row is paired: copies give copies, and different
+    questions under one id are all paired rather than refused, as checking would take a shuffle of its own.
     """
     questions, answers = split_postings(postings)
     pairs = _whole(answers, "answer", "parent_id").join(_whole(questions, "question", "id"), "qid")
@@ -46,72 +47,71 @@ def posting_pairs(postings: DataFrame) -> DataFrame:
 def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFrame:
     """The pairs grouped per question: ``qid, block, question, answers``.
 
-    A question with more than ``block_answers`` answers comes in several blocks, each with an
-    array of about that many. The block is part of the join and grouping key, which spreads a
-    question holding a large share of all answers over many tasks.
+    ``answers`` holds ``answer, copies``: equal answers are added up before anything else, so copies never fill
+    an array. A question with more than ``block_answers`` different answers comes in several blocks, each with
+    about that many. The block is part of the join and grouping key, which spreads a question
+    holding a large share of all answers over many tasks. As with pairs, every question row has groups.
     """
     questions, answers = split_postings(postings)
-    share = F.ceil(F.count(F.lit(1)) / F.lit(block_answers)).cast("bigint")
-    sizes = answers.groupBy(F.col("parent_id").alias("qid")).agg(share.alias("blocks"))
-    large = sizes.where("blocks > 1")
-    known = large.limit(BROADCAST_QUESTIONS + 1).count()
-
-    def with_blocks(whole: DataFrame) -> DataFrame:
-        """The number of blocks: 1 but for large questions, which are few as a rule."""
-        if not known:
-            return whole.withColumn("blocks", F.lit(1).cast("bigint"))
-        marked = F.broadcast(large) if known <= BROADCAST_QUESTIONS else large
-        blocks = F.coalesce("blocks", F.lit(1).cast("bigint")).alias("blocks")
-        return whole.join(marked, "qid", "left").select(*whole.columns, blocks)
-
-    numbered = with_blocks(_whole(answers, "answer", "parent_id")).select(
-        "qid", "answer", block_number(F.col("answer.id"), F.col("blocks")).alias("block")
+    distinct = answers.groupBy(*answers.columns).agg(F.count(F.lit(1)).alias("copies"))
+    entry = F.struct(F.struct(*answers.columns).alias("answer"), "copies").alias("entry")
+    numbered = distinct.select(F.col("parent_id").alias("qid"), "id", entry)
+    share = F.ceil(F.count(F.lit(1)) / F.lit(block_answers)).cast("bigint").alias("blocks")
+    large = written(numbered.groupBy("qid").agg(share).where("blocks > 1"), "large-questions")
+    blocks = F.coalesce("blocks", F.lit(1).cast("bigint"))
+    dealt = numbered.join(large, "qid", "left").select(
+        "qid", "entry", block_number(F.col("id"), blocks).alias("block")
     )
-    if known > BROADCAST_QUESTIONS:
-        # A shuffled join leaves the answers partitioned by question, which would do for grouping
-        # but not for a question that is too large. Repartitioning also frees the join's output,
-        # so that the adaptive planner can split its skewed partitions.
-        numbered = numbered.repartition("qid", "block")
-    blocked = numbered.groupBy("qid", "block").agg(
-        F.sort_array(F.collect_list("answer")).alias("answers")
+    # The join may leave the answers partitioned by question, which would do for grouping but not
+    # for a question that is too large.
+    blocked = dealt.repartition("qid", "block").groupBy("qid", "block").agg(
+        F.sort_array(F.collect_list("entry")).alias("answers")
     )
-    every_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    heads = with_blocks(_whole(questions, "question", "id")).select(
-        "qid", "question", every_block.alias("block")
+    every_block = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block")
+    heads = _whole(questions, "question", "id").join(large, "qid", "left").select(
+        "qid", "question", every_block
     )
     return blocked.join(heads, ["qid", "block"]).select("qid", "block", "question", "answers")
 
 
-def best_scores(answers: DataFrame) -> DataFrame:
-    """``qid, high_score``: the best answer score per question, never below 0.
+def _question_scores(postings: DataFrame, *numbers: tuple[str, Column]) -> DataFrame:
+    """``qid, best`` and the given numbers of each answered question; different questions under one id raise.
 
-    Grouped before any join: each task sends one row per question, so a question with very many
-    answers is no larger than any other when it comes to the join.
+    Questions and answers meet in one aggregation by question id: a single scan and a single exchange
+    of numbers, combined in each task first. A question counts by a fingerprint of its columns.
     """
-    best = F.greatest(F.max("score"), F.lit(0)).alias("high_score")
-    return answers.groupBy(F.col("parent_id").alias("qid")).agg(best)
+    is_question = F.col("posting_type") == QUESTION
+    parent = F.when(F.col("posting_type") == ANSWER, F.col("parent_id"))
+    print_ = F.xxhash64("accepted_answer", "score", F.col("tags").isNull(), "tags")
+    reduced = postings.select(
+        F.when(is_question, F.col("id")).otherwise(parent).alias("qid"),
+        F.when(is_question, print_).alias("print"),
+        F.when(~is_question, F.col("score")).alias("answer_score"),
+        *[F.when(is_question, number).alias(name) for name, number in numbers],
+    ).where((F.col("qid") != NO_PARENT))
+    joined = reduced.groupBy("qid").agg(
+        F.min("print").alias("low"), F.max("print").alias("high"), F.max("answer_score").alias("best"),
+        *[F.max(name).alias(name) for name, _ in numbers],
+    )
+    conflict = F.raise_error(
+        F.concat(F.lit("different questions share id "), F.col("qid").cast("string"))
+    )
+    best = F.when(F.col("low") == F.col("high"), F.greatest("best", F.lit(0))).otherwise(conflict.cast("int"))
+    return joined.where("low IS NOT NULL AND best IS NOT NULL").select(
+        "qid", best.alias("best"), *[name for name, _ in numbers]
+    )
 
 
 def posting_highscore(postings: DataFrame) -> DataFrame:
-    """Each answered question with ``high_score``.
+    """Each answered question with ``high_score``, never below 0.
 
     Copies of a question count once. Two different questions under one id raise, as no rule says
-    which of them the answers belong to.
+    which of them the answers belong to. Answers come to the join as one row per question.
     """
-    questions, answers = split_postings(postings)
-    payload = F.struct("accepted_answer", "score", "tags")
-    single = questions.groupBy(F.col("id").alias("qid")).agg(
-        F.min(payload).alias("low"), F.max(payload).alias("high")
-    )
-    conflict = F.raise_error(
-        F.concat(F.lit("different questions share id "), F.col("qid").cast("string"))
-    )
-    question = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(conflict)
-    return (
-        single.select("qid", question.alias("question"))
-        .join(best_scores(answers), "qid")
-        .select("qid", "question.*", "high_score")
-    )
+    questions, _ = split_postings(postings)
+    single = questions.select(F.col("id").alias("qid"), "accepted_answer", "score", "tags").distinct()
+    scores = _question_scores(postings).withColumnRenamed("best", "high_score")
+    return single.join(scores, "qid")
 
 
 def topic_position(tags, vocabulary: Sequence[str]):
@@ -125,30 +125,13 @@ def posting_vectors(
 ) -> DataFrame:
     """``qid, x, y``: topic index times ``spread``, and best answer score.
 
-    Questions without a known topic or without an answer drop out. Instead of joining questions
-    and answers, one aggregation brings both together by question: a single scan and a single
-    exchange of numbers, combined in each task first, so neither many answers to one question nor
-    copies of a question make a large partition.
+    Questions without a known topic or without an answer drop out, after the check that no two
+    different questions share an id. There is no join: one aggregation brings questions and answers
+    together, so neither many answers to one question nor copies of a question make a large partition.
     """
     terms = check_vocabulary(vocabulary)
     if spread <= 0 or spread * (len(terms) - 1) > 2**31 - 1:
         raise ValueError("spread must be positive and keep every x within 32 bits")
-    is_question = F.col("posting_type") == QUESTION
-    parent = F.when(F.col("posting_type") == ANSWER, F.col("parent_id"))
-    reduced = postings.select(
-        F.when(is_question, F.col("id")).otherwise(parent).alias("qid"),
-        F.when(is_question, topic_position(F.col("tags"), terms)).alias("topic"),
-        F.when(~is_question, F.col("score")).alias("answer_score"),
-    ).where((F.col("qid") != NO_PARENT) & (F.coalesce("topic", F.lit(0)) >= 0))
-    joined = reduced.groupBy("qid").agg(
-        F.min("topic").alias("low"), F.max("topic").alias("high"), F.max("answer_score").alias("best")
-    )
-    conflict = F.raise_error(
-        F.concat(F.lit("different topics share question id "), F.col("qid").cast("string"))
-    )
-    topic = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(conflict.cast("int"))
-    return joined.where("low IS NOT NULL AND best IS NOT NULL").select(
-        "qid",
-        (topic * F.lit(spread)).alias("x"),
-        F.greatest("best", F.lit(0)).alias("y"),
-    )
+    topics = _question_scores(postings, ("topic", topic_position(F.col("tags"), terms)))
+    checked = topics.select("qid", "topic", "best").where("topic >= 0")
+    return checked.select("qid", (F.col("topic") * F.lit(spread)).alias("x"), F.col("best").alias("y"))

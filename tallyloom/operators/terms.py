@@ -15,28 +15,10 @@ from tallyloom.functions.tokens import (
     tokens,
 )
 
-# Up to this many terms are matched inside the scan; longer vocabularies are joined.
-INLINE_TERMS = 256
-# A table with a row per term is broadcast up to this estimate of its size.
-BROADCAST_BYTES = 8 * 1024 * 1024
-
-
-def _if_small(frame: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """A frame with at most a row per term, marked for broadcast if the vocabulary is small."""
-    size = sum(64 + 4 * len(term) for term in vocabulary)
-    return F.broadcast(frame) if size <= BROADCAST_BYTES else frame
-
-
 def vocabulary_frame(spark: SparkSession, vocabulary: Sequence[str]) -> DataFrame:
     """``position, term``, with positions from 0."""
     terms = check_vocabulary(vocabulary)
-    if len(terms) <= INLINE_TERMS:
-        return spark.range(1).select(F.posexplode(literal_array(terms)).alias("position", "term"))
-    return spark.createDataFrame(list(enumerate(terms)), "position int, term string")
-
-
-def _distinct_tokens(articles: DataFrame, text: str) -> DataFrame:
-    return articles.select("*", F.explode_outer(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    return spark.range(1).select(F.posexplode(literal_array(terms)).alias("position", "term"))
 
 
 def inverted_index(
@@ -45,30 +27,21 @@ def inverted_index(
     """One row per (term, article mentioning it): ``term`` and all article columns.
 
     Flat, so that a term found in a third of all articles stays spread over the tasks that read
-    them. A short vocabulary needs no shuffle; columns not used later are pruned from the scan.
+    them. The vocabulary, which the driver holds, is matched inside the scan: only hits carry the
+    text, nothing is shuffled, and columns not used later are pruned from the scan.
     """
     terms = check_vocabulary(vocabulary)
-    columns = articles.columns
-    if len(terms) <= INLINE_TERMS:
-        # explode_outer, because a plain explode adds a filter that matches every text twice.
-        hits = mentioned_terms(F.col(text), terms)
-        found = articles.select("*", F.explode_outer(hits).alias("term")).where("term IS NOT NULL")
-    else:
-        known = _if_small(vocabulary_frame(articles.sparkSession, terms).select("term"), terms)
-        found = _distinct_tokens(articles, text).join(known, "term")
-    return found.select("term", *columns)
+    # explode_outer, because a plain explode adds a filter that matches every text twice.
+    hits = mentioned_terms(F.col(text), terms)
+    found = articles.select("*", F.explode_outer(hits).alias("term")).where("term IS NOT NULL")
+    return found.select("term", *articles.columns)
 
 
 def mention_counts(
     articles: DataFrame, vocabulary: Sequence[str], text: str = "text"
 ) -> DataFrame:
     """``term, n``: articles mentioning each vocabulary term, absent terms left out."""
-    terms = check_vocabulary(vocabulary)
-    known = vocabulary_frame(articles.sparkSession, terms).select("term")
-    if len(terms) <= INLINE_TERMS or _if_small(known, terms) is not known:
-        return _count_terms(inverted_index(articles, terms, text))
-    # Counted before the join, either side holds one row per term, however frequent it is.
-    return _count_terms(_distinct_tokens(articles.select(text), text)).join(known, "term")
+    return _count_terms(inverted_index(articles, vocabulary, text))
 
 
 def _count_terms(found: DataFrame) -> DataFrame:
@@ -107,18 +80,15 @@ def rank_index(index: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     return _ranked(_count_terms(index), vocabulary, "inner")
 
 
-def index_blocks(
-    index: DataFrame,
-    vocabulary: Sequence[str],
-    title: str = "title",
-    block_titles: int = 10_000,
-) -> DataFrame:
+def index_blocks(index: DataFrame, title: str = "title", block_titles: int = 10_000) -> DataFrame:
     """The index grouped by term, in blocks of about ``block_titles`` titles.
 
     Columns ``term, block, entries`` with ``entries array<struct<title, copies>>``. Copies of one
     title are added up before the shuffle, and a frequent term gets as many blocks as its number of
     titles asks for, so that no task ever holds a whole frequent term. Titles go to blocks by
-    hash, which gives the same blocks when a task runs again.
+    hash, which gives the same blocks when a task runs again. Whether the sizes are broadcast is left
+    to the optimiser, which knows theirs; blocks are dealt anew after the join, whose partitioning by term
+    would put all blocks of a term into one task.
     """
     entries = index.groupBy("term", F.col(title).alias("title")).agg(
         F.count(F.lit(1)).alias("copies")
@@ -128,11 +98,11 @@ def index_blocks(
     sizes = entries.groupBy("term").agg(
         F.ceil(titles / F.lit(block_titles)).cast("bigint").alias("blocks")
     )
-    sizes = _if_small(sizes, vocabulary)
     entry = F.struct("title", "copies")
     return (
         entries.join(sizes, "term")
         .withColumn("block", block_number(F.col("title"), F.col("blocks")))
+        .repartition("term", "block")
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )

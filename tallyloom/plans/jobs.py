@@ -12,7 +12,7 @@ from tallyloom.operators import kmeans as km
 from tallyloom.operators.postings import posting_vectors
 from tallyloom.operators.terms import inverted_index, rank_index, rank_reduce, rank_scan
 from tallyloom.operators.timeuse import timeuse_grouped, timeuse_summary
-from tallyloom.scratch import written
+from tallyloom.scratch import discard, written
 from tallyloom.sources.articles import decode_articles
 from tallyloom.sources.files import read_lines, read_survey
 from tallyloom.sources.postings import decode_postings
@@ -29,6 +29,10 @@ class PostingClusters(NamedTuple):
     points: DataFrame
     results: DataFrame
 
+    def discard(self) -> None:
+        """Deletes the table of points; results that were not taken before can no longer be read."""
+        discard(self.points)
+
 
 def cluster_postings(
     postings: DataFrame,
@@ -40,6 +44,7 @@ def cluster_postings(
     start: int = 1,
     max_iterations: int = km.MAX_ITERATIONS,
     seed: int = km.SEED,
+    few: bool = True,
 ) -> PostingClusters:
     """Postings to clusters: vectors, start points, k-means and the per-cluster summary.
 
@@ -52,10 +57,11 @@ def cluster_postings(
     try:
         means = km.initial_means(vectors, len(terms), kernels, spread, seed)
         clustering = km.kmeans(
-            points, means, start=start, max_iterations=max_iterations, eta=eta
+            points, means, start=start, max_iterations=max_iterations, eta=eta, few=few
         )
     finally:
         points.unpersist()
+        discard(vectors)
     results = km.cluster_results(points, clustering.means, terms, spread)
     return PostingClusters(clustering, points, results)
 

@@ -23,12 +23,15 @@ def _list(values) -> str:
 
 _POSTINGS = """
 postings AS (
-  SELECT 1::INTEGER AS posting_type, o_orderkey AS id, NULL::BIGINT AS accepted_answer,
+  SELECT 1::INTEGER AS posting_type, o_orderkey AS id,
+         CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 10 + 1 END::BIGINT AS accepted_answer,
          NULL::BIGINT AS parent_id, length(o_orderpriority)::INTEGER AS score,
          o_orderpriority AS tags
   FROM orders
   UNION ALL
-  SELECT 2::INTEGER, l_orderkey * 10 + l_linenumber, NULL::BIGINT, l_orderkey,
+  SELECT 2::INTEGER, l_orderkey * 10 + l_linenumber, NULL::BIGINT,
+         CASE WHEN (l_orderkey * 10 + l_linenumber) % 97 = 0 THEN -1
+              WHEN (l_orderkey * 10 + l_linenumber) % 101 <> 0 THEN l_orderkey END::BIGINT,
          l_quantity::INTEGER - 25, NULL::VARCHAR
   FROM lineitem
 )"""
@@ -62,6 +65,16 @@ mentions AS (
   FROM articles a JOIN vocabulary v ON list_contains(string_split(a.text, ' '), v.term)
 )"""
 
+_PAIR_MENTIONS = _ARTICLES + f""",
+letters AS (SELECT unnest(string_split('{tables.LETTERS}', '')) AS letter),
+vocabulary AS (
+  SELECT a.letter || b.letter AS term,
+         (row_number() OVER (ORDER BY a.letter, b.letter) - 1)::INTEGER AS position
+  FROM letters a, letters b WHERE a.letter <> '' AND b.letter <> ''
+),
+tokens AS (SELECT DISTINCT title, text, unnest(string_split(text, ' ')) AS term FROM articles),
+mentions AS (SELECT term, title, text, position FROM tokens JOIN vocabulary USING (term))"""
+
 _SURVEY = """
 survey AS (
   SELECT 'r-' || l_orderkey || '-' || l_linenumber AS tucaseid,
@@ -159,6 +172,11 @@ a{number} AS MATERIALIZED ({_closest(old)}),
 )"""
 
 
+def kmeans_converged() -> str:
+    """Whether the rounds were enough for the tables at hand."""
+    return _with(_kmeans(KMEANS_ROUNDS), f"SELECT bool_and(done) FROM m{KMEANS_ROUNDS}")
+
+
 def _kmeans(rounds: int) -> str:
     return _START + "".join(_round(n) for n in range(1, rounds + 1))
 
@@ -189,10 +207,26 @@ results AS (
   FROM ranked JOIN medians USING (cluster) WHERE r = 1
 )"""
 
-_RANK_FOUND = _with(
-    _MENTIONS,
-    "SELECT term, count(*) AS n FROM mentions GROUP BY term, position ORDER BY n DESC, position",
-)
+_RANKED = "SELECT term, count(*) AS n FROM mentions GROUP BY term, position ORDER BY n DESC, position"
+_RANK_FOUND = _with(_MENTIONS, _RANKED)
+
+
+def _index_blocks(mentions: str) -> str:
+    return _with(
+        mentions
+        + f""",
+entries AS (SELECT term, title, count(*) AS copies FROM mentions GROUP BY term, title),
+sizes AS (
+  SELECT term, ceil(count(*) / {BLOCK_TITLES})::BIGINT AS blocks FROM entries GROUP BY term
+),
+blocked AS (
+  SELECT term, title, copies, {_block('title', 'blocks')} AS block
+  FROM entries JOIN sizes USING (term)
+)""",
+        "SELECT term, block::BIGINT AS block, string_agg(title, ',' ORDER BY title) AS titles, "
+        "sum(copies)::BIGINT AS n FROM blocked GROUP BY term, block",
+    )
+
 
 _GROUPED = _with(
     _SUMMARY,
@@ -240,7 +274,7 @@ def oracle_sql() -> dict[str, str]:
             "teage::DOUBLE AS teage) FROM survey",
         ),
         "src_csv_infer": _with(_SURVEY, "SELECT * FROM survey"),
-        "src_json_typed": "SELECT event_id, user_id, event_type, value FROM events",
+        "src_json_typed": "SELECT * FROM events",
         "src_article_dump": _with(_ARTICLES, "SELECT title, text FROM articles"),
         "mention_count": _with(
             _ARTICLES,
@@ -256,20 +290,10 @@ def oracle_sql() -> dict[str, str]:
         "rank_reduce": _RANK_FOUND,
         "rank_index": _RANK_FOUND,
         "inverted_index": _with(_MENTIONS, "SELECT term, title, text FROM mentions"),
-        "inverted_index_blocks": _with(
-            _MENTIONS
-            + f""",
-entries AS (SELECT term, title, count(*) AS copies FROM mentions GROUP BY term, title),
-sizes AS (
-  SELECT term, ceil(count(*) / {BLOCK_TITLES})::BIGINT AS blocks FROM entries GROUP BY term
-),
-blocked AS (
-  SELECT term, title, copies, {_block('title', 'blocks')} AS block
-  FROM entries JOIN sizes USING (term)
-)""",
-            "SELECT term, block::BIGINT AS block, string_agg(title, ',' ORDER BY title) AS titles, "
-            "sum(copies)::BIGINT AS n FROM blocked GROUP BY term, block",
-        ),
+        "inverted_index_blocks": _index_blocks(_MENTIONS),
+        "rank_index_long": _with(_PAIR_MENTIONS, _RANKED),
+        "inverted_index_long": _with(_PAIR_MENTIONS, "SELECT term, title, text FROM mentions"),
+        "inverted_index_blocks_long": _index_blocks(_PAIR_MENTIONS),
         "word_count": _with(
             _ARTICLES,
             "SELECT word, count(*) AS n, word || ' ' || count(*) AS line FROM "
@@ -297,24 +321,26 @@ blocked AS (
         "timeuse_grouped": _GROUPED,
         "timeuse_sql": _GROUPED,
         "timeuse_typed": _GROUPED,
-        "posting_pairs": _with(
-            _QUESTIONS_ANSWERS,
-            "SELECT q.id AS qid, q.tags, a.id AS answer_id, a.score AS answer_score "
-            "FROM questions q JOIN answers a ON q.id = a.parent_id",
-        ),
+        "posting_pairs": "SELECT o_orderkey AS qid, o_orderpriority AS tags, "
+        "l_orderkey * 10 + l_linenumber AS answer_id, l_quantity::INTEGER - 25 AS answer_score "
+        "FROM orders JOIN lineitem ON o_orderkey = l_orderkey "
+        "WHERE (l_orderkey * 10 + l_linenumber) % 97 <> 0 AND (l_orderkey * 10 + l_linenumber) % 101 <> 0",
         "posting_groups": _with(
             _QUESTIONS_ANSWERS
             + f""",
+added AS (
+  SELECT id, parent_id, score, count(*) AS copies FROM answers GROUP BY id, parent_id, score
+),
 sizes AS (
   SELECT parent_id, ceil(count(*) / {BLOCK_ANSWERS})::BIGINT AS blocks
-  FROM answers GROUP BY parent_id
+  FROM added GROUP BY parent_id
 ),
 blocked AS (
-  SELECT q.id AS qid, q.tags, a.id, a.score, {_block('a.id', 'blocks')} AS block
-  FROM questions q JOIN answers a ON q.id = a.parent_id JOIN sizes s ON s.parent_id = q.id
+  SELECT q.id AS qid, q.tags, a.id, a.score, a.copies, {_block('a.id', 'blocks')} AS block
+  FROM questions q JOIN added a ON q.id = a.parent_id JOIN sizes s ON s.parent_id = q.id
 )""",
             "SELECT qid, block::BIGINT AS block, tags, "
-            "string_agg(id || ':' || score, ',' ORDER BY id, score) AS answers "
+            "string_agg(id || ':' || score || ':' || copies, ',' ORDER BY id, score) AS answers "
             "FROM blocked GROUP BY qid, block, tags",
         ),
         "posting_highscore": _with(
@@ -339,6 +365,7 @@ closest AS ({_closest('m0')})""",
         "kmeans_step": _means(1),
         "kmeans": _means(KMEANS_ROUNDS),
         "kmeans_late_start": _means(3),
+        "kmeans_compiled": _means(KMEANS_ROUNDS),
         "cluster_results": _with(_RESULTS, "SELECT * FROM results ORDER BY median"),
         "cluster_report": _with(
             _RESULTS,
@@ -351,6 +378,11 @@ SELECT 'unexpected' AS side, key FROM (
 UNION ALL
 SELECT 'missing' AS side, key FROM (
   SELECT o_orderkey AS key FROM orders EXCEPT SELECT l_orderkey FROM lineitem)""",
+        "order_check_ranges": """
+SELECT user_id, ts, value, previous FROM (
+  SELECT user_id, ts, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS previous
+  FROM events
+) WHERE previous < value""",
         "order_check": """
 SELECT user_id, event_id, value, previous FROM (
   SELECT user_id, event_id, value,

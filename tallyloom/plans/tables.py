@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Four of the five order priorities, so that the fifth is an unknown topic.
 TOPICS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
+# All pairs of small letters, far more terms than the articles mention.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+PAIR_TERMS = tuple(a + b for a in LETTERS for b in LETTERS)
 # "in" and "the" are tied at one scale, "Clojure" does not occur.
 TERMS = ("the", "in", "and", "The", "of", "with", "Clojure")
 
@@ -16,20 +19,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as questions tagged with their priority, line items as answers."""
+    """Orders as questions tagged with their priority, line items as answers.
+
+    A third of the questions accept their first answer. Some answers have no parent or name none.
+    """
+    answer = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     questions = table(spark, folder, "orders").select(
         F.lit(1).alias("posting_type"),
         F.col("o_orderkey").alias("id"),
-        F.lit(None).cast("bigint").alias("accepted_answer"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") * 10 + 1).alias("accepted_answer"),
         F.lit(None).cast("bigint").alias("parent_id"),
         F.length("o_orderpriority").alias("score"),
         F.col("o_orderpriority").alias("tags"),
     )
     answers = table(spark, folder, "lineitem").select(
         F.lit(2).alias("posting_type"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        answer.alias("id"),
         F.lit(None).cast("bigint").alias("accepted_answer"),
-        F.col("l_orderkey").alias("parent_id"),
+        F.when(answer % 97 == 0, F.lit(-1)).when(answer % 101 != 0, F.col("l_orderkey")).alias("parent_id"),
         (F.col("l_quantity").cast("int") - 25).alias("score"),
         F.lit(None).cast("string").alias("tags"),
     )

@@ -10,6 +10,13 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from tallyloom.functions.checked import not_null_sql, quoted
 
 
+# How JSON timestamps are written and read.
+TIMESTAMPS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line, in column ``value``."""
     return spark.read.text(path)
@@ -49,11 +56,14 @@ def read_survey(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
 
 
 def read_inferred(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
-    """Header-named CSV with inferred types. Inference reads the whole input once more."""
-    frame = spark.read.options(header=True, inferSchema=True).csv(path)
+    """Header-named CSV with inferred types. Inference reads the whole input once more; broken lines raise."""
+    frame = spark.read.options(header=True, inferSchema=True, mode="FAILFAST").csv(path)
     return frame.columns, frame
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """JSON lines under a given schema, so nothing is inferred."""
-    return spark.read.schema(schema).json(path)
+    """JSON lines under a given schema, so nothing is inferred.
+
+    A line that is no JSON and a value of another type raise. Timestamps may have microseconds.
+    """
+    return spark.read.schema(schema).options(mode="FAILFAST", **TIMESTAMPS).json(path)

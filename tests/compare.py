@@ -15,6 +15,7 @@ TYPES = {
     "double": "DOUBLE",
     "boolean": "BOOLEAN",
     "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
 }
 
 

@@ -27,13 +27,13 @@ def brute_rises(data):
     return sorted(found)
 
 
-@pytest.mark.parametrize("window_rows", [5_000_000, 37, 5, 1])
-def test_order_check_equals_brute_force_whatever_the_ranges(spark, rows, window_rows):
+@pytest.mark.parametrize("range_rows", [5_000_000, 37, 5, 1])
+def test_order_check_equals_brute_force_whatever_the_ranges(spark, rows, range_rows):
     chance = random.Random(2)
     data = [("hot", p * 3, chance.randrange(50)) for p in range(300)]
     data += [(f"g{i % 40}", 1000 - i, chance.randrange(50)) for i in range(400)]
     frame = spark.createDataFrame(data, "g string, p int, v int")
-    found = checks.order_check(frame, ["g"], "p", "v", window_rows)
+    found = checks.order_check(frame, ["g"], "p", "v", range_rows)
     assert found.columns == ["g", "p", "v", "previous"]
     assert sorted(rows(found)) == brute_rises(data)
 
@@ -43,3 +43,27 @@ def test_order_check_on_a_ranking(spark, rows):
     assert rows(checks.order_check(ranking, ["r"], "i", "n")) == []
     empty = ranking.limit(0)
     assert rows(checks.order_check(empty, ["r"], "i", "n")) == []
+
+
+@pytest.mark.parametrize("range_rows", [100, 1])
+def test_a_null_position_comes_first(spark, rows, range_rows):
+    frame = spark.createDataFrame([("g", None, 1), ("g", 1, 5), ("g", 2, 3), ("g", 3, 9)], "g string, p int, v int")
+    found = checks.order_check(frame, ["g"], "p", "v", range_rows)
+    assert sorted(rows(found)) == [("g", 1, 5, 1), ("g", 3, 9, 3)]
+
+
+@pytest.mark.parametrize("range_rows", [1000, 7])
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_dates_and_timestamps_are_positions(spark, rows, range_rows, kind):
+    numbers = spark.range(60).selectExpr("1 AS g", "cast(id AS int) AS i", "cast((id * 37) % 11 AS int) AS v")
+    day = {"date": "date_add(date'2020-01-01', i)", "timestamp": "timestamp'2020-01-01' + make_interval(0, 0, 0, 0, i)"}
+    frame = numbers.selectExpr("g", f"{day[kind]} AS p", "v")
+    found = checks.order_check(frame, ["g"], "p", "v", range_rows).select("v", "previous")
+    values = [(i * 37) % 11 for i in range(60)]
+    assert sorted(rows(found)) == sorted((b, a) for a, b in zip(values, values[1:]) if a < b)
+
+
+def test_text_positions_are_refused(spark):
+    frame = spark.createDataFrame([("g", "a", 1)], "g string, p string, v int")
+    with pytest.raises(ValueError, match="positions must be"):
+        checks.order_check(frame, ["g"], "p", "v")

@@ -74,10 +74,9 @@ def test_a_step_truncates_and_keeps_empty_means(spark):
         assert km.kmeans_step(points, CENTERS, few) == [(0, 5), (0, 5), (50_000, 6)]
 
 
-@pytest.mark.parametrize("few_points", [0, 10**6])
+@pytest.mark.parametrize("few", [False, True])
 @pytest.mark.parametrize("start", [1, 118])
-def test_kmeans_equals_brute_force_on_uncompacted_points(spark, monkeypatch, few_points, start):
-    monkeypatch.setattr(km, "FEW_POINTS", few_points)
+def test_kmeans_equals_brute_force_on_uncompacted_points(spark, few, start):
     points = some_points(400)
     means = points[:9]
     found = km.kmeans(km.compact(vectors(spark, points)), means, start=start, eta=1.0)

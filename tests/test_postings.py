@@ -5,8 +5,8 @@ import pytest
 from tallyloom.operators import postings as po
 from tallyloom.sources.postings import POSTING_SCHEMA, decode_postings, encode_postings
 
-QUESTION = (1, 10, 2, None, 19, "scala is fun and oooooo")
-ANSWER = (2, 11, None, 10, 99, "scala and haskell are fun")
+QUESTION = (1, 40, 3, None, 12, "neither topic nor tag")
+ANSWER = (2, 41, None, 40, 77, "a remark")
 LANGUAGES = ["Java", "C#", "Scala"]
 
 
@@ -20,17 +20,17 @@ def lines(spark, *texts):
 
 def test_kinds(spark):
     questions, answers = po.split_postings(frame(spark, [QUESTION, ANSWER]))
-    assert [r["id"] for r in questions.collect()] == [10]
-    assert [r["id"] for r in answers.collect()] == [11]
+    assert [r["id"] for r in questions.collect()] == [40]
+    assert [r["id"] for r in answers.collect()] == [41]
 
 
 def test_inline_fixture(spark, rows):
     both = frame(spark, [QUESTION, ANSWER])
     pairs = po.posting_pairs(both).collect()
     assert [(p["qid"], tuple(p["question"]), tuple(p["answer"])) for p in pairs] == [
-        (10, QUESTION, ANSWER)
+        (40, QUESTION, ANSWER)
     ]
-    assert rows(po.posting_highscore(both)) == [(10, 2, 19, QUESTION[5], 99)]
+    assert rows(po.posting_highscore(both)) == [(40, 3, 12, QUESTION[5], 77)]
     assert rows(po.posting_vectors(both, LANGUAGES)) == []
 
 
@@ -133,14 +133,36 @@ def test_bad_spread(spark, spread):
         po.posting_vectors(frame(spark, MIXED), LANGUAGES, spread=spread)
 
 
-@pytest.mark.parametrize("broadcast", [0, 100_000])
-def test_a_hot_question_is_grouped_in_blocks(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(po, "BROADCAST_QUESTIONS", broadcast)
+def test_a_question_with_an_unknown_topic_conflicts_as_well(spark):
+    data = frame(spark, [(1, 1, None, None, 0, "a"), (1, 1, None, None, 0, "b"), (2, 9, None, 1, 3, None)])
+    for job in (po.posting_highscore, lambda p: po.posting_vectors(p, ["a"])):
+        with pytest.raises(Exception, match="share id 1"):
+            job(data).collect()
+    # Pairs and groups keep every question row.
+    assert po.posting_pairs(data).count() == 2
+    assert po.posting_groups(data).count() == 2
+
+
+def test_copies_of_an_answer_do_not_fill_blocks(spark):
+    data = [(1, 1, None, None, 0, "Java")] + [(2, 7, None, 1, 3, None)] * 500
+    data += [(2, 100 + i, None, 1, i, None) for i in range(200)]
+    groups = po.posting_groups(frame(spark, data), block_answers=50).collect()
+    assert max(len(g["answers"]) for g in groups) < 100
+    copies = [a["copies"] for g in groups for a in g["answers"] if a["answer"]["id"] == 7]
+    assert copies == [500]
+
+
+def test_high_scores_need_no_sorted_aggregation(spark):
+    text = po.posting_highscore(frame(spark, MIXED))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_a_hot_question_is_grouped_in_blocks(spark):
     hot = [(2, 1000 + i, None, 1, i, None) for i in range(700)]
     cold = [(1, q, None, None, 0, "Java") for q in range(1, 400)]
     cold += [(2, 5000 + q, None, q, 3, None) for q in range(2, 399)]
     groups = po.posting_groups(frame(spark, hot + cold), block_answers=100).collect()
-    found = sorted((g["qid"], a["id"]) for g in groups for a in g["answers"])
+    found = sorted((g["qid"], a["answer"]["id"]) for g in groups for a in g["answers"])
     assert found == sorted([(1, a[1]) for a in hot] + [(q, 5000 + q) for q in range(2, 399)])
     assert len([g for g in groups if g["qid"] == 1]) == 7
     assert max(len(g["answers"]) for g in groups) < 200

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql.types import DoubleType, StringType
 
@@ -73,6 +75,13 @@ def test_typed_json(spark, rows, tmp_path):
     assert sorted(rows(people)) == [("Ann", 3), ("Bo", None)]
 
 
+@pytest.mark.parametrize("line", ['{"age": "x"}', "no json", '{"name": "Ann", "age": 1'])
+def test_broken_json_raises(spark, tmp_path, line):
+    path = save(tmp_path, "p.json", '{"name": "Bo", "age": 1}', line)
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        files.read_json(spark, path, "name string, age bigint").collect()
+
+
 def article_line(title, text):
     return f"<page> <title>{title}</title><text>{text}</text>  </page>"
 
@@ -98,6 +107,15 @@ def test_bad_article_lines_raise(spark, line):
         articles.decode_articles(frame).collect()
 
 
+def test_tables_can_be_removed_and_nothing_else(spark, tmp_path):
+    table = scratch.written(spark.range(3).toDF("n"), "gone")
+    files_before = table.inputFiles()
+    scratch.discard(table)
+    assert not any(Path(f.removeprefix("file:")).exists() for f in files_before)
+    with pytest.raises(ValueError):
+        scratch.remove(spark, str(tmp_path))
+
+
 def test_written_tables_land_in_the_shared_folder(spark, rows):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert scratch.shared_folder(spark) == folder

@@ -8,13 +8,13 @@ from tallyloom.functions.tokens import check_vocabulary
 from tallyloom.operators import terms
 
 W3 = [
-    ("1", "Groovy is pretty interesting, and so is Erlang"),
-    ("2", "Scala and Java run on the JVM"),
-    ("3", "Scala is not purely functional"),
+    ("1", "Groovy scripts, and nothing but Erlang servers"),
+    ("2", "Both Scala and Java compile to bytecode"),
+    ("3", "Scala mixes two styles"),
 ]
 W5 = W3 + [
-    ("4", "The cool kids like Haskell more than Java"),
-    ("5", "Java is for enterprise developers"),
+    ("4", "Nobody here prefers Haskell over Java yet"),
+    ("5", "Java still pays the rent"),
 ]
 FIVE = ["Scala", "Java", "Groovy", "Haskell", "Erlang"]
 
@@ -24,12 +24,12 @@ def articles(spark, data):
 
 
 def test_one_article_counts_once(spark, rows):
-    found = terms.mention_count(articles(spark, [("title", "Java Jakarta")]), "Java")
+    found = terms.mention_count(articles(spark, [("only", "Java Sumatra")]), "Java")
     assert rows(found) == [("Java", 1)]
 
 
 def test_two_articles_rank(spark, rows):
-    data = [("1", "Scala is great"), ("2", "Java is OK, but Scala is cooler")]
+    data = [("1", "Scala first"), ("2", "Java later, then Scala again")]
     ranked = terms.rank_scan(articles(spark, data), ["Scala", "Java"])
     assert rows(ranked) == [("Scala", 2), ("Java", 1)]
 
@@ -119,30 +119,35 @@ def test_the_three_rankings_agree_with_brute_force(spark, rows):
     assert rows(terms.rank_index(index, vocabulary)) == found
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 10**7])
-def test_long_vocabularies_are_joined_with_the_same_result(spark, rows, monkeypatch, broadcast_bytes):
-    monkeypatch.setattr(terms, "BROADCAST_BYTES", broadcast_bytes)
+def test_long_vocabularies_equal_brute_force(spark, rows):
     data = random_articles(60)
     vocabulary = [f"w{i}" for i in range(300)]
     frame = articles(spark, data)
+    counts = brute_counts(data, vocabulary)
+    expected = sorted(counts.items(), key=lambda c: (-c[1], vocabulary.index(c[0])))
+    assert rows(terms.rank_scan(frame, vocabulary)) == expected
+    index = terms.inverted_index(frame, vocabulary)
+    assert rows(terms.rank_index(index, vocabulary)) == [c for c in expected if c[1]]
+    hits = [(t, title, text) for title, text in data for t in set(text.split(" ")) & set(vocabulary)]
+    assert sorted(rows(index)) == sorted(hits)
 
-    def all_results():
-        index = terms.inverted_index(frame, vocabulary)
-        return (
-            rows(terms.rank_scan(frame, vocabulary)),
-            rows(terms.rank_reduce(frame, vocabulary)),
-            sorted(rows(index)),
-        )
 
-    joined = all_results()
-    monkeypatch.setattr(terms, "INLINE_TERMS", 1000)
-    assert joined == all_results()
+def test_blocks_are_dealt_by_term_and_block(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = terms.inverted_index(articles(spark, [("a", "hot")]), ["hot"])
+        text = terms.index_blocks(index)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(term" in text and "SortMergeJoin" in text
+    assert any("REPARTITION_BY_COL" in line and "block" in line for line in text.splitlines())
 
 
 def test_index_blocks_hold_every_title_once_with_its_copies(spark):
     data = [(f"t{i}", "hot") for i in range(500)] + [("same", "hot cold")] * 300
     index = terms.inverted_index(articles(spark, data), ["hot", "cold"])
-    blocks = terms.index_blocks(index, ["hot", "cold"], block_titles=50).collect()
+    blocks = terms.index_blocks(index, block_titles=50).collect()
     hot = [entry for b in blocks if b["term"] == "hot" for entry in b["entries"]]
     assert sorted(hot) == sorted([(f"t{i}", 1) for i in range(500)] + [("same", 300)])
     assert max(len(b["entries"]) for b in blocks) < 100
@@ -151,9 +156,9 @@ def test_index_blocks_hold_every_title_once_with_its_copies(spark):
 
 
 def test_word_count(spark, rows):
-    words = ["boy", "girl", "boy", "man", "woman", "man", "girl", "boy"]
+    words = ["oak", "elm", "oak", "ash", "yew", "ash", "elm", "oak"]
     frame = spark.createDataFrame([(w,) for w in words], "word string")
-    expected = [("boy", 3, "boy 3"), ("girl", 2, "girl 2"), ("man", 2, "man 2"), ("woman", 1, "woman 1")]
+    expected = [("ash", 2, "ash 2"), ("elm", 2, "elm 2"), ("oak", 3, "oak 3"), ("yew", 1, "yew 1")]
     assert sorted(rows(terms.word_count(frame))) == expected
     text = articles(spark, [("1", " ".join(words)), ("2", "  "), ("3", None)])
     assert sorted(rows(terms.word_count(terms.split_words(text)))) == expected
