@@ -2,6 +2,95 @@
 
 from __future__ import annotations
 
+from tallyloom.llm import decontamination, warc
+from tallyloom.llm.secret_scan import BASE, RULES, Rule
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _rule_spans(number: int, rule: Rule) -> str:
+    """Spans of one rule, from the lengths of the pieces between matches and of the matches before."""
+    expression = _text(("(?i)" if rule.any_case else "") + rule.expression)
+    return f"""
+  SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, size,
+         list_sum([length(x) for x in gaps[1:i]]) + coalesce(list_sum([length(x) for x in found[1:i - 1]]), 0) AS start,
+         length(found[i]) AS width
+  FROM (
+    SELECT *, unnest(range(1, len(found) + 1)) AS i, unnest([length(x) for x in measured]) AS size
+    FROM (
+      SELECT doc_id, string_split_regex(text, {expression}) AS gaps, regexp_extract_all(text, {expression}) AS found,
+             regexp_extract_all(text, {expression}, {rule.group}) AS measured
+      FROM texts WHERE regexp_matches(text, {expression})
+    )
+  ) WHERE size >= {rule.least}"""
+
+
+def _secrets() -> str:
+    counts = ", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE)
+    listed = "string_agg(kind || ':' || start || ':' || (start + width), ',' ORDER BY start, number)"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(_rule_spans(n, r) for n, r in enumerate(RULES))}),
+counted AS (
+  SELECT doc_id, {counts}, {listed} FILTER (number < {len(BASE)}) AS base, {listed} AS spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN counted USING (doc_id)"""
+
+
+_PAGES = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first
+  FROM payloads
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts"""
+
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(table: str, name: str) -> str:
+    lowered = f"translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}')"
+    return f"SELECT {name}, regexp_extract_all({lowered}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words FROM {table}"
+
+
+_CONTAMINATION = f"""
+WITH items AS ({_words("benchmark", "item_id")}),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS gram FROM (
+    SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM (
+      SELECT *, least({decontamination.WINDOW}, len(words)) AS size FROM items WHERE len(words) > 0
+    )
+  )
+),
+texts AS MATERIALIZED ({_words("documents", "doc_id")}),
+grams AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS gram FROM (
+    SELECT *, unnest(range(1, len(words) - size + 2)) AS i
+    FROM texts, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size
+  )
+),
+hits AS MATERIALIZED (SELECT doc_id, item_id, i, size FROM grams JOIN windows USING (size, gram)),
+covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {decontamination.HIT_SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc": _PAGES, "op5_secret_scan": _secrets(), "op10_decontamination": _CONTAMINATION}
