@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.scratch import written
+from tallyloom.llm.stages import stored
 
 
 def _relabel(frame: DataFrame, column: str, labels: DataFrame) -> DataFrame:
@@ -21,21 +21,21 @@ def _relabel(frame: DataFrame, column: str, labels: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of the links ``a, b``; the root is the component's smallest node."""
-    links = written(links.where("a <> b").select("a", "b").distinct(), "links")
+    links = stored(links.where("a <> b").select("a", "b").distinct(), "links")
     rounds: list[DataFrame] = []
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-        parents = written(lowest.select("node", F.least("node", "root").alias("root")), "parents")
+        parents = stored(lowest.select("node", F.least("node", "root").alias("root")), "parents")
         for _ in range(2):
             parents = _relabel(parents, "root", parents).select("node", "root")
-        parents = written(parents, "parents")
+        parents = stored(parents, "parents")
         rounds.append(parents)
         links = _relabel(_relabel(links, "a", parents), "b", parents)
-        links = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        links = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = rounds[0]
     for later in rounds[1:]:
         found = _relabel(found, "root", later).select("node", "root")
-    return written(found, "components")
+    return stored(found, "components")

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import tables
 from tallyloom.llm import text as tx
 from tallyloom.llm.components import components
-from tallyloom.scratch import written
+from tallyloom.llm.stages import stored
 
 # Sets above this size are never light: their subsets outnumber any list.
 LIGHT_MOST = 24
@@ -106,6 +106,19 @@ def _parity(elements: np.ndarray) -> list[int]:
     return np.packbits(slots.astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
 
+def _fine_parity(elements: np.ndarray) -> bytes:
+    """The same with two slots or more per element, a power of two, so that any two sketches can be folded alike."""
+    slots = max(64, 1 << (2 * len(elements) - 1).bit_length()) if len(elements) else 64
+    odd = np.bincount((tx.mix(elements) % np.uint64(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
+    while len(sketch) > size:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
 def _ordered(elements: np.ndarray, load: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
     """Elements in the global order, with their loads."""
     loads = load[(elements % np.uint64(len(load))).astype(np.int64)]
@@ -127,9 +140,9 @@ def _frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, rule: Rule, load) -> DataFrame:
-    """``doc_id, k1, k2, cls, n, scan, parity`` per row; ``scan`` is the load of its prefix."""
+    """``doc_id, k1, k2, cls, n, scan, parity, fine`` per row; ``scan`` is the load of its prefix."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, k1 bigint, k2 bigint, cls bigint, n bigint, scan bigint, parity array<bigint>"
+    shape = f"doc_id {kind}, k1 bigint, k2 bigint, cls bigint, n bigint, scan bigint, parity array<bigint>, fine binary"
 
     def run(batches):
         table = load.value
@@ -141,14 +154,14 @@ def _sets(docs: DataFrame, rule: Rule, load) -> DataFrame:
                     scan = 0
                     if 0 < len(s) <= LIGHT_MOST:
                         scan = int(_ordered(s, table, mean)[1][: rule.prefix(len(s))].sum())
-                    found.append((_class_of(s), len(s), scan, _parity(s)))
+                    found.append((_class_of(s), len(s), scan, _parity(s), _fine_parity(s)))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), rows.column(2), *(pa.array([f[i] for f in found], pa.int64()) for i in range(3)),
-                     pa.array([f[3] for f in found], pa.list_(pa.int64()))],
-                    names=["doc_id", "k1", "k2", "cls", "n", "scan", "parity"],
+                     pa.array([f[3] for f in found], pa.list_(pa.int64())), pa.array([f[4] for f in found], pa.binary())],
+                    names=["doc_id", "k1", "k2", "cls", "n", "scan", "parity", "fine"],
                 )
 
-    return written(docs.mapInArrow(run, shape), "sets")
+    return stored(docs.mapInArrow(run, shape), "sets")
 
 
 def light_boundary(sizes: list[tuple[int, int, int]], rule: Rule) -> int:
@@ -212,7 +225,7 @@ def _postings(docs: DataFrame, rule: Rule, load, boundary: int) -> DataFrame:
                     names=["light", "element", "cls", "n", "pos"],
                 )
 
-    return written(docs.select("text").mapInArrow(run, shape), "postings")
+    return stored(docs.select("text").mapInArrow(run, shape), "postings")
 
 
 def _overlap(rule: Rule, s: Column, t: Column) -> Column:
@@ -238,14 +251,34 @@ def _light_links(postings: DataFrame, rule: Rule) -> DataFrame:
     return pairs.where(enough).select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def _finely(pairs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``a, b`` that the fine sketches do not rule out either."""
+    left = sketch.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("fine").alias("left"))
+    right = sketch.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("fine").alias("right"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "left", "right")
+
+    def run(batches):
+        for batch in batches:
+            s, t = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            allowed = s + t - 2 * -(-rule.percent * (s + t) // (100 + rule.percent))
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint8) for k in (4, 5))
+                size = min(len(x), len(y))
+                keep[i] = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum()) <= allowed[i]
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return joined.mapInArrow(run, "a bigint, b bigint")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
     """``a, b, overlap, n_a, n_b`` of the class pairs that link, checked on the whole sets.
 
     The sets are computed again from the texts for the classes a fixed-size filter lets through.
     """
-    pairs = written(pairs, "pairs")
+    pairs = stored(_finely(pairs, sketch, rule), "pairs")
     if pairs.isEmpty():
-        return pairs.select("a", "b", F.lit(0).alias("overlap"), F.lit(0).alias("n_a"), F.lit(0).alias("n_b"))
+        return pairs.select("a", "b", *[F.lit(0).alias(c) for c in ("overlap", "n_a", "n_b")])
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))
     wanted = docs.sparkSession.sparkContext.broadcast(tables.occupied(ends))
 
@@ -263,10 +296,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "elements"])
 
     whole = docs.select("text").mapInArrow(run, "cls bigint, elements binary")
-    whole = written(whole.join(ends.distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("elements").alias("elements")), "whole-sets")
+    whole = stored(whole.join(ends.distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("elements").alias("elements")), "whole-sets")
     first = whole.select(F.col("cls").alias("a"), F.col("elements").alias("left"))
     second = whole.select(F.col("cls").alias("b"), F.col("elements").alias("right"))
-    # Pairs travel with the set of the end that has fewer of them to the other end.
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "left", "right")
 
     def check(batches):
@@ -280,7 +312,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(numbers[:, i]) for i in range(3))], names=["a", "b", "overlap", "n_a", "n_b"])
 
     counted = joined.mapInArrow(check, "a bigint, b bigint, overlap int, n_a int, n_b int")
-    return written(counted.where(F.lit(100 + rule.percent) * F.col("overlap") >= F.lit(rule.percent) * (F.col("n_a") + F.col("n_b"))), "links")
+    enough = F.lit(100 + rule.percent) * F.col("overlap") >= F.lit(rule.percent) * (F.col("n_a") + F.col("n_b"))
+    return stored(counted.where(enough), "links", pairs, whole)
 
 
 class Join(NamedTuple):
@@ -313,9 +346,10 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule(), *, doc_id="doc_id", text=
     heavy = postings.where("NOT light")
     shared = heavy.groupBy("element").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count(F.lit(1)).alias("entries"))
     shared = shared.where("low <> high").select("element", "entries")
-    lists = written(heavy.join(shared, "element").select("element", "cls", "n", "pos", "entries").distinct(), "lists")
-    sketch = sets.groupBy("cls").agg(F.first("n").alias("n"), F.first("parity").alias("parity")).join(lists.select("cls").distinct(), "cls", "left_semi")
-    sketch = written(sketch, "sketches")
+    lists = stored(heavy.join(shared, "element").select("element", "cls", "n", "pos", "entries").distinct(), "lists")
+    light = stored(_light_links(postings, rule), "light-links", postings)
+    sketch = sets.groupBy("cls").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("fine").alias("fine")).join(lists.select("cls").distinct(), "cls", "left_semi")
+    sketch = stored(sketch, "sketches")
     both_light = lambda s, t: (s <= boundary) & (t <= boundary)
 
     def kept(pairs: DataFrame) -> DataFrame:
@@ -324,7 +358,7 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule(), *, doc_id="doc_id", text=
         joined = pairs.join(a, F.col("left") == F.col("a.cls")).join(b, (F.col("right") == F.col("b.cls")) & _may_link(rule, "a", "b"))
         return joined.select(F.col("left").alias("a"), F.col("right").alias("b"))
 
-    links = _light_links(postings, rule)
+    links = light
     if not every_link:
         # The most central set of a list: the one whose prefix is shared most widely.
         central = lists.groupBy("cls").agg((F.sum(F.log("entries")) / F.first("n")).alias("r"))
@@ -333,15 +367,18 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule(), *, doc_id="doc_id", text=
         near = (F.col("x.element") == F.col("h.element")) & (F.col("x.cls") != F.col("h.cls")) & _near_size(rule, F.col("x.n"), F.col("h.n"))
         star = x.join(h, near & ~both_light(F.col("x.n"), F.col("h.n")))
         ends = (F.col("x.cls"), F.col("h.cls"))
-        star = star.select(F.least(*ends).alias("left"), F.greatest(*ends).alias("right")).distinct()
-        links = written(links.unionByName(_verified(kept(star), named, rule).select("a", "b")), "links")
+        # Each class is checked against the one it meets in most lists; round two sees to the rest.
+        met = star.select(ends[0].alias("cls"), ends[1].alias("other")).groupBy("cls", "other").agg(F.count(F.lit(1)).alias("lists"))
+        best = met.groupBy("cls").agg(F.max(F.struct("lists", "other"))["other"].alias("other"))
+        star = best.select(F.least("cls", "other").alias("left"), F.greatest("cls", "other").alias("right")).distinct()
+        links = stored(links.unionByName(_verified(kept(star), named, sketch, rule).select("a", "b")), "links")
         parts = components(links)
         labelled = lists.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("part", F.coalesce("root", "cls")).drop("root")
         open_ = labelled.groupBy("element").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("element")
         open_lists = labelled.join(open_, "element")
     else:
         open_lists = lists.withColumn("part", F.col("cls"))
-    rows = written(open_lists.select("element", "cls", "part", "pos").join(sketch, "cls"), "open-lists")
+    rows = stored(open_lists.select("element", "cls", "part", "pos").join(sketch.drop("fine"), "cls"), "open-lists")
     x, y = rows.alias("x"), rows.alias("y")
     rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     near = (
@@ -350,7 +387,9 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule(), *, doc_id="doc_id", text=
         & (rest >= _overlap(rule, F.col("x.n"), F.col("y.n"))) & _may_link(rule, "x", "y")
     )
     pairs = x.join(y, near).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    return Join(sets, links.unionByName(_verified(pairs, named, rule).select("a", "b")))
+    more = _verified(pairs, named, sketch, rule).select("a", "b")
+    links = stored(links.unionByName(more), "links", lists, rows, sketch)
+    return Join(sets, links)
 
 
 def _members(join: Join) -> DataFrame:
@@ -358,7 +397,7 @@ def _members(join: Join) -> DataFrame:
     parts = components(join.links).select(F.col("node").alias("cls"), "root")
     name = F.struct("doc_id", "k1", "k2")
     classes = join.sets.where("n > 0").groupBy("cls").agg(F.min(name).alias("first"))
-    labelled = written(classes.join(parts, "cls", "left").select("cls", "first", F.coalesce("root", "cls").alias("root")), "classes")
+    labelled = stored(classes.join(parts, "cls", "left").select("cls", "first", F.coalesce("root", "cls").alias("root")), "classes")
     firsts = labelled.groupBy("root").agg(F.min("first").alias("first"))
     by_class = labelled.select("cls", "root").join(firsts, "root").select("cls", "first")
     rows = join.sets.select("doc_id", "k1", "k2", "cls", "n")
