@@ -130,10 +130,10 @@ def _keyed(docs: DataFrame, text: str) -> list[Column]:
 
 def trigram_postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
     """``trigram, k1, k2``: the inverted index, for the trigrams asked for."""
-    # One scan answers all trigrams; small letters of A-Z only, so that lengths stay.
-    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    found = F.filter(F.array(*[F.when(F.contains(F.col("lowered"), F.lit(t)), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull())
-    hits = texts.select("k1", "k2", lowered.alias("lowered")).select("k1", "k2", found.alias("found"))
+    # The lambda binds the lowered text once for all trigrams; lowering may only add candidates.
+    asked = F.array(*[F.lit(t) for t in trigrams])
+    found = F.transform(F.array(F.lower("text")), lambda low: F.filter(asked, lambda t: F.contains(low, t)))[0]
+    hits = texts.select("k1", "k2", found.alias("found"))
     return hits.select("k1", "k2", F.explode("found").alias("trigram")).distinct()
 
 
