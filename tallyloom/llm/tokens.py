@@ -35,8 +35,8 @@ BLOCK = 1 << 16
 MAGIC = b"TOKBITS1"
 TAIL = struct.Struct("<QQQII8s")
 # Encoded pieces a worker remembers, and documents' bytes encoded at once.
-REMEMBERED = 400_000
-ENCODE_BYTES = 16 << 20
+REMEMBERED = 300_000
+ENCODE_BYTES = 8 << 20
 
 
 def bits_for(vocabulary: int) -> int:
