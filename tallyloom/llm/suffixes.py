@@ -310,9 +310,10 @@ def repeated_runs(docs: DataFrame, *, text: str = "text", size: int = SIZE) -> D
     anchors = stored(_anchors(keyed.select("text", "k1", "k2"), size), "anchors")
     place = F.struct("k1", "k2", "pos")
     names = anchors.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).alias("n"))
-    names = names.where("low <> high").select("name", (F.col("n") > SPLIT).alias("wide"))
+    # A table of its own: the join then deals both sides anew and can split a frequent name.
+    names = stored(names.where("low <> high").select("name", (F.col("n") > SPLIT).alias("wide")), "repeated-names")
     listed = anchors.join(names, "name").select("k1", "k2", "pos", "wide").distinct()
-    by_text = stored(listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "wide")).alias("anchors")), "repeated-anchors", anchors)
+    by_text = stored(listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "wide")).alias("anchors")), "repeated-anchors", anchors, names)
     # Equal texts repeat all over; they take part once here, and whole below.
     joined = keyed.join(by_text, ["k1", "k2"]).select("text", "k1", "k2", "anchors")
     found, repeated = _shards(_stretches(joined, size), size)
