@@ -12,8 +12,10 @@ Every byte covered by a ``size``-byte string that also starts anywhere else goes
    a name and merged in. Neighbours in suffix order are then compared over ``size`` bytes.
 3. Repeated starts come back to their texts, become runs of bytes and are cut out.
 
-Skew: equal texts and equal stretches leave a task once, with their number. Anchors of more than ``SPLIT`` stretches
-are keyed by the block of start offsets as well, which parts their stretches.
+Skew: equal texts and equal stretches leave a task once, with their number. So an array's group has at most ``SPLIT``
+stretches of less than ``2 * size`` bytes. Stretches of anchors with more are parted by blocks of start offsets and do
+not go to arrays: those that share the bytes common to all runs of their block with no other are dropped, the rest
+become one fingerprint of 128 bits per run, and equal ones are counted. No task holds a group of them.
 
 Defined cases: a null text is empty; nothing shorter than ``size`` is removed for itself; matches never cross texts; rows are
 told apart by content only, so repeated rows and rows with equal or null ids each count as an occurrence
@@ -186,10 +188,11 @@ def _runs(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _stretches(joined: DataFrame, size: int) -> DataFrame:
-    """``name, part, k1, k2, low, bytes``: stretches around repeated anchors, from ``text, k1, k2, anchors``.
+    """``name, part, common, k1, k2, low, bytes``: stretches around repeated anchors, from ``text, k1, k2, anchors``.
 
     ``anchors`` lists ``pos, wide`` of a text's anchors that occur elsewhere too; ``wide`` marks those of many
-    stretches. All starts of a stretch have its anchor.
+    stretches. All starts of a stretch have its anchor. ``part`` is 0, or for wide anchors the block of offsets from 1;
+    then ``common`` names the bytes that every run of the block covers, so equal runs have equal ones.
     """
 
     def run(batches):
@@ -210,38 +213,42 @@ def _stretches(joined: DataFrame, size: int) -> DataFrame:
                 if not len(at):
                     continue
                 own = anchors[at]
-                part = np.where(wide[own], (own - at) // OFFSET_BLOCK, 0)
+                part = np.where(wide[own], (own - at) // OFFSET_BLOCK + 1, 0)
                 head = np.ones(len(at), bool)
                 head[1:] = (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1]) | (part[1:] != part[:-1])
                 lows = at[head]
                 highs = at[np.append(np.flatnonzero(head)[1:], len(at)) - 1]
                 text_of = np.searchsorted(offsets, lows, side="right") - 1
+                own, part = own[head], part[head]
+                common, split = np.zeros(len(part), np.uint64), np.flatnonzero(part)
+                if len(split):
+                    inner = own[split] - (part[split] - 1) * OFFSET_BLOCK
+                    common[split] = tx.Fingerprints(data).of(inner, inner + size - OFFSET_BLOCK + 1)
                 index = dict(zip(places.tolist(), tx.signed(names).tolist()))
                 k1, k2 = rows.column(1).to_pylist(), rows.column(2).to_pylist()
                 raw = data.tobytes()
                 fresh = {i for i in np.unique(text_of).tolist() if not ((key := (k1[i], k2[i])) in seen or seen.add(key))}
-                for low, high, a, p, t in zip(lows.tolist(), highs.tolist(), own[head].tolist(), part[head].tolist(), text_of.tolist()):
+                for low, high, a, p, c, t in zip(lows.tolist(), highs.tolist(), own.tolist(), part.tolist(), tx.signed(common).tolist(), text_of.tolist()):
                     if t in fresh:
-                        out.append((index[a], p, k1[t], k2[t], low - int(offsets[t]), raw[low : high + size]))
+                        out.append((index[a], p, c, k1[t], k2[t], low - int(offsets[t]), raw[low : high + size]))
                 if out:
+                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                        names=["name", "part", "k1", "k2", "low", "bytes"],
+                        [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)],
+                        names=["name", "part", "common", "k1", "k2", "low", "bytes"],
                     )
 
-    return joined.mapInArrow(run, "name bigint, part int, k1 bigint, k2 bigint, low int, bytes binary")
+    return joined.mapInArrow(run, "name bigint, part int, common bigint, k1 bigint, k2 bigint, low int, bytes binary")
 
 
 def _name_of(content: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
 
 
-def _shards(stretches: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """Where each content of a stretch occurs, and ``content, first, last``: its repeated starts."""
-    found = stored(stretches.withColumn("content", F.xxhash64("name", "part", "bytes")), "stretches")
+def _thinned(found: DataFrame) -> DataFrame:
+    """``name, part, common, content, bytes, copies``: each content once per task, or per so many bytes of them."""
 
     def thin(batches):
-        """Each content once per task, with its copies."""
         held: dict[tuple, list] = {}
         size_held = 0
 
@@ -249,15 +256,15 @@ def _shards(stretches: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
             rows = [(*key, *value) for key, value in held.items()]
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64()))],
-                names=["name", "part", "content", "bytes", "copies"],
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
+                names=["name", "part", "common", "content", "bytes", "copies"],
             )
 
         for batch in batches:
-            for name, part, content, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                entry = held.get((name, part, content))
+            for name, part, common, content, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                entry = held.get((name, part, common, content))
                 if entry is None:
-                    held[name, part, content] = [raw, 1]
+                    held[name, part, common, content] = [raw, 1]
                     size_held += len(raw) + 200
                 else:
                     entry[1] += 1
@@ -267,12 +274,67 @@ def _shards(stretches: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
         if held:
             yield out()
 
-    thinned = found.select("name", "part", "content", "bytes").mapInArrow(thin, "name bigint, part int, content bigint, bytes binary, copies bigint")
+    columns = found.select("name", "part", "common", "content", "bytes")
+    return columns.mapInArrow(thin, "name bigint, part int, common bigint, content bigint, bytes binary, copies bigint")
+
+
+def _run_names(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of each run: of the whole, and of its halves' fingerprints."""
+    prints, middle = tx.Fingerprints(data), starts + size // 2
+    halves = prints.of(starts, middle) * np.uint64(0x9E3779B97F4A7C15) + prints.of(middle, starts + size)
+    return prints.of(starts, starts + size), tx.mix(halves)
+
+
+def _by_run(found: DataFrame, size: int) -> DataFrame:
+    """``content, first, last`` of the stretches of wide anchors: equal runs are counted, whatever their number."""
+    thinned, key = _thinned(found), ["name", "part", "common"]
+    # Tables of their own: joins with them deal both sides anew and can split a frequent key.
+    groups = stored(thinned.groupBy(key).agg(F.sum("copies").alias("n")).where("n > 1").select(key), "repeated-blocks")
+
+    def expand(batches):
+        for batch in batches:
+            for rows, data, offsets in tx.pieces(batch, "bytes"):
+                starts = tx.within(offsets, size)
+                if not len(starts):
+                    continue
+                row = np.searchsorted(offsets, starts, side="right") - 1
+                a, b = _run_names(data, starts, size)
+                bit = np.left_shift(1, starts - offsets[row]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).take(pa.array(row)), pa.array(bit), pa.array(tx.signed(a)), pa.array(tx.signed(b)), rows.column(2).take(pa.array(row))],
+                    names=["content", "bit", "a", "b", "copies"],
+                )
+
+    shared = thinned.join(groups, key).select("content", "bytes", "copies")
+    runs = stored(shared.mapInArrow(expand, "content bigint, bit int, a bigint, b bigint, copies bigint"), "runs", groups)
+    again = stored(runs.groupBy("a", "b").agg(F.sum("copies").alias("n")).where("n > 1").select("a", "b"), "repeated-names")
+    marked = runs.join(again, ["a", "b"]).groupBy("content").agg(F.bit_or("bit").alias("bits"))
+
+    def spans(batches):
+        for batch in batches:
+            bits = (batch.column(1).to_numpy()[:, None] >> np.arange(OFFSET_BLOCK)) & 1
+            edges = np.diff(np.pad(bits, ((0, 0), (1, 1))), axis=1)
+            row, first = np.nonzero(edges == 1)
+            after = np.nonzero(edges == -1)[1]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array((after - 1).astype(np.int32))], names=["content", "first", "last"]
+            )
+
+    return stored(marked.mapInArrow(spans, "content bigint, first int, last int"), "wide-starts", runs, again)
+
+
+def _shards(stretches: DataFrame, size: int, *done: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where each content of a stretch occurs, and ``content, first, last``: its repeated starts.
+
+    Tables in ``done`` go once the stretches are written.
+    """
+    found = stored(stretches.withColumn("content", F.xxhash64("name", "part", "bytes")), "stretches", *done)
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    thinned = _thinned(found.where("part = 0")).select("name", "part", "content", "bytes", "copies")
     dealt = thinned.repartition(parts, "name", "part").sortWithinPartitions("name", "part", "content")
 
     def sort(batches):
-        """Whole groups of ``name, part`` are put into arrays of bounded bytes; a larger group is one array."""
+        """Whole groups of ``name`` are put into arrays of bounded bytes; none has more than ``SPLIT`` stretches."""
         held: list[tuple] = []
         held_bytes, key = 0, None
 
@@ -301,7 +363,9 @@ def _shards(stretches: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
         if held:
             yield out()
 
-    return found, dealt.mapInArrow(sort, "content bigint, first int, last int")
+    arrays = dealt.mapInArrow(sort, "content bigint, first int, last int")
+    wide = _by_run(found.where("part > 0"), size)
+    return found, stored(arrays.unionByName(wide), "repeated-starts", wide)
 
 
 def repeated_runs(docs: DataFrame, *, text: str = "text", size: int = SIZE) -> DataFrame:
@@ -316,8 +380,7 @@ def repeated_runs(docs: DataFrame, *, text: str = "text", size: int = SIZE) -> D
     by_text = stored(listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "wide")).alias("anchors")), "repeated-anchors", anchors, names)
     # Equal texts repeat all over; they take part once here, and whole below.
     joined = keyed.join(by_text, ["k1", "k2"]).select("text", "k1", "k2", "anchors")
-    found, repeated = _shards(_stretches(joined, size), size)
-    repeated = stored(repeated, "repeated-starts", by_text)
+    found, repeated = _shards(_stretches(joined, size), size, by_text)
     starts = found.select("k1", "k2", "low", "content").join(repeated, "content")
     spans = starts.select("k1", "k2", (F.col("low") + F.col("first")).alias("start"), (F.col("low") + F.col("last") + size).alias("stop"))
     copies = keyed.where(F.octet_length("text") >= size).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("stop"))

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import decontamination, jaccard, language, mixing, secret_scan, suffixes, tokens, toxicity
 from tallyloom.llm import text as tx
@@ -340,6 +341,30 @@ def test_repeats_equal_brute_force(spark, monkeypatch, split):
     assert suffixes.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_arrays_stay_small_when_one_passage_has_thousands_of_contexts(spark, monkeypatch):
+    chance = random.Random(4)
+    words = lambda n: "".join(chance.choices("abcdefghijkl ", k=n))
+    passage = words(260)
+    # Some contexts are shared for a few bytes, so runs over the passage's edges repeat too.
+    tails = [words(chance.randrange(1, 40)) for _ in range(30)]
+    data = [(i, words(120) + (chance.choice(tails) if i % 3 else "") + passage + (chance.choice(tails) if i % 2 else "") + words(150)) for i in range(3000)]
+    largest = []
+    frames = type(spark.range(0))
+    spread = frames.mapInArrow
+
+    def watched(frame, function, schema, *args, **options):
+        if function.__qualname__.startswith("_shards.<locals>.sort"):
+            groups = frame.groupBy("name", "part").agg(F.sum(F.octet_length("bytes")).alias("n"))
+            largest.append(groups.agg(F.max("n")).first()[0] or 0)
+        return spread(frame, function, schema, *args, **options)
+
+    monkeypatch.setattr(suffixes, "SPLIT", 100)
+    monkeypatch.setattr(frames, "mapInArrow", watched)
+    found = suffixes.repeat_digest(suffixes.remove_repeats(table(spark, data)))
+    assert sorted(map(tuple, found.collect())) == sorted(brute_repeats(data, 200))
+    assert largest and max(largest) <= 100 * 2 * 200
+
+
 # 10 Decontamination
 
 
