@@ -118,6 +118,15 @@ def _box_distances(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return (outside * outside).sum(axis=1)
 
 
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best ``k``, each pair of id and score once."""
+    order = np.lexsort((ids, -scores))
+    ids, scores = ids[order], scores[order]
+    fresh = np.ones(len(ids), bool)
+    fresh[1:] = (ids[1:] != ids[:-1]) | (scores[1:] != scores[:-1])
+    return ids[fresh][:k], scores[fresh][:k]
+
+
 def search(tree: Tree, points: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, point: np.ndarray, own: int,
            top: float, k: int, worst: float, factor: float) -> tuple[np.ndarray, np.ndarray]:
     """Ids and inner products of a query's best ``k`` in the shard; ``worst`` is a known squared distance of its k-th."""
@@ -137,14 +146,11 @@ def search(tree: Tree, points: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
             continue
         found = np.concatenate((found, (vectors[rows] * query).sum(axis=1)))
         found_ids = np.concatenate((found_ids, ids[rows]))
-        if len(found) > k:
-            best = np.lexsort((found_ids, -found))[:k]
-            found, found_ids = found[best], found_ids[best]
+        found_ids, found = _best(found_ids, found, k)
         if len(found) == k:
             # A hair of room, so that rounding never closes out equal scores.
             worst = min(worst, max(base - 2 * float(found.min()), 0) * (1 + 1e-9) + 1e-12)
-    best = np.lexsort((found_ids, -found))
-    return found_ids[best], found[best]
+    return found_ids, found
 
 
 def _dense(column: pa.Array, length: int) -> np.ndarray:
@@ -232,14 +238,15 @@ def nearest_neighbours(
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     if most is None:
         return empty
-    valid = valid.where(length == most["length"])
+    # Equal rows of one id are one row from here on: every cut to k counts them once.
+    valid = stored(valid.where(length == most["length"]).distinct(), "vectors")
     levels = min(int(np.log2(MOST_CELLS)), max(0, int(np.ceil(np.log2(max(1, most["n"] / shard_rows))))))
     sample = valid.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(sample_rows).select("vector")
     sampled = np.array([r.vector for r in sample.collect()], float)
     matrix = np.random.default_rng(seed).standard_normal((most["length"] + 1, dimensions))
     cells = _fit_cells(sampled, matrix, float(most["top"]), levels)
     shared = spark.sparkContext.broadcast(cells)
-    placed = stored(_placed(valid, shared, most["length"]), "placed")
+    placed = stored(_placed(valid, shared, most["length"]), "placed", valid)
 
     def points(batches):
         for batch in batches:
@@ -298,10 +305,11 @@ def nearest_neighbours(
 
     asked = placed.where(is_query(F.col("id")))
     first = asked.select("id", "cell", F.lit(None).cast("double").alias("worst"), "vector").mapInArrow(visits(True), SHARD)
-    near = stored(_ranked(_searched(data.unionByName(first), shared, most["length"], k, factor), k), "near")
+    near = stored(_ranked(_searched(data.unionByName(first), shared, most["length"], k, factor).distinct(), k), "near")
     kth = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), "score")
+    # A query with fewer than k so far has no bound; greatest() alone would make null a bound of 0.
     bound = F.greatest(F.lit(float(most["top"])) + F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v) - 2 * F.col("score"), F.lit(0.0)) * (1 + 1e-9) + 1e-12
-    again = asked.join(kth, "id", "left").select("id", "cell", bound.alias("worst"), "vector").distinct().mapInArrow(visits(False), SHARD)
+    again = asked.join(kth, "id", "left").select("id", "cell", F.when(F.col("score").isNotNull(), bound).alias("worst"), "vector").distinct().mapInArrow(visits(False), SHARD)
     far = _searched(data.unionByName(again), shared, most["length"], k, factor)
     both = near.select("query_id", "vec_id", "score").unionByName(far).distinct()
     return _ranked(both, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

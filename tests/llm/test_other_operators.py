@@ -59,6 +59,29 @@ def test_neighbours_find_nine_in_ten_and_handle_odd_vectors(spark):
     assert neighbours.nearest_neighbours(small.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+def test_rows_that_repeat_take_no_place_among_the_neighbours(spark):
+    random = np.random.default_rng(5)
+    rows = [(i, random.standard_normal(16)) for i in range(300)]
+    data = [(i, v.tolist()) for i, v in rows for _ in range(2 + i % 3)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    found = collections.defaultdict(list)
+    for r in neighbours.nearest_neighbours(frame, lambda i: i % 20 == 0, shard_rows=64, sample_rows=100).collect():
+        found[r.query_id].append((r.rank, r.vec_id))
+    shares = []
+    for query, ids, _ in brute_neighbours(rows, 20):
+        own = sorted(found.pop(query))
+        assert [rank for rank, _ in own] == list(range(1, 21)) and len({v for _, v in own}) == 20
+        shares.append(len({v for _, v in own} & set(ids)) / 20)
+    assert not found and np.mean(shares) >= 0.9
+
+
+def test_one_id_with_vectors_of_one_score_counts_once_in_a_search():
+    points = np.array([[1.0, float(i)] for i in range(30)] + [[0.5, 0.0], [0.4, 0.0]])
+    ids = np.array([1] * 30 + [2, 3])
+    found, scores = neighbours.search(neighbours.build_tree(points), points, ids, points, np.array([1.0, 0.0]), np.zeros(2), 9, 1e3, 3, np.inf, 2.0)
+    assert found.tolist() == [1, 2, 3] and scores.tolist() == [1.0, 0.5, 0.4]
+
+
 def test_chi_square_quantiles():
     assert abs(neighbours.chi_square_quantile(0.95, 8) - 15.507) < 1e-3
     assert abs(neighbours.chi_square_quantile(0.5, 2) - 1.386) < 1e-3
