@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import decontamination, warc
+from tallyloom.llm import decontamination, periodic, warc
 from tallyloom.llm.secret_scan import BASE, RULES, Rule
 
 
@@ -91,6 +91,55 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AND {decontamination.HIT_SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
+# The checksum of a decimal id, a byte and its eight bits at a time.
+_CRC32 = """xor(4294967295::UBIGINT, list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, byte: list_reduce(
+      list_concat([xor(crc, byte)], list_transform(range(8), lambda i: 0::UBIGINT)),
+      lambda s, i: xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))))"""
+
+_PERIODIC = f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words, {_CRC32}::BIGINT AS h FROM documents
+),
+sized AS (SELECT doc_id, words, len(words) AS n, h, h // 10 AS g, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a FROM texts),
+planted AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE words END AS words
+  FROM sized
+),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(words[i + 1:i + {periodic.LEAST // 2}], ' ') AS gram
+  FROM (SELECT *, unnest(range(n - {periodic.LEAST // 2 - 1})) AS i FROM planted)
+),
+equal AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i AND 2 * (y.i - x.i) <= x.n
+),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + {periodic.LEAST // 2 - 1} AS shared
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal) GROUP BY doc_id, q, island
+),
+runs AS (
+  SELECT doc_id, start, shared + q AS length, min(q) AS period FROM stretches
+  WHERE shared >= q AND shared + q >= {periodic.LEAST} GROUP BY doc_id, start, shared + q
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing,
+         first(start ORDER BY length DESC, start, period) AS start, max(length) AS length,
+         first(period ORDER BY length DESC, start, period) AS period
+  FROM runs GROUP BY doc_id
+),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(n)) AS i FROM planted) ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256,
+       sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": _PAGES, "op5_secret_scan": _secrets(), "op10_decontamination": _CONTAMINATION}
+    return {"op3_warc": _PAGES, "op5_secret_scan": _secrets(), "op10_decontamination": _CONTAMINATION, "op13_periodic_runs": _PERIODIC}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, neighbours, secret_scan, suffixes, tokens, toxicity, warc
+from tallyloom.llm import decontamination, jaccard, language, mixing, neighbours, periodic, secret_scan, suffixes, tokens, toxicity, warc
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,8 @@ def op10_decontamination(spark, folder):
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@_query
+def op13_periodic_runs(spark, folder):
+    return periodic.run_digest(periodic.periodic_runs(periodic.with_planted_period(_table(spark, folder, "documents"))))
