@@ -141,5 +141,35 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, le
 FROM planted LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+def _components(words: int, percent: int, kept: str = "") -> str:
+    """Components of texts whose shingle sets are similar; every pair that shares a shingle is counted."""
+    lowered = f"translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}')"
+    return f"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all({lowered}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {words} THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - {words - 2}), lambda i: array_to_string(words[i:i + {words - 1}], ' ')) END) AS shingle
+    FROM texts
+  )
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * common >= {percent} * (s.n + t.n - common)
+),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, ways.b FROM reached JOIN ways ON ways.a = reached.other
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id{kept}
+FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": _PAGES, "op5_secret_scan": _secrets(), "op10_decontamination": _CONTAMINATION, "op13_periodic_runs": _PERIODIC}
+    return {
+        "op7_jaccard_join": _components(4, 85),
+        "op12_minhash_near_dedup": _components(4, 80, ", doc_id = component_id AS kept"),
+    } | {"op3_warc": _PAGES, "op5_secret_scan": _secrets(), "op10_decontamination": _CONTAMINATION, "op13_periodic_runs": _PERIODIC}

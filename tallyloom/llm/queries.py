@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, mixing, neighbours, periodic, secret_scan, suffixes, tokens, toxicity, warc
+from tallyloom.llm import decontamination, jaccard, language, minhash, mixing, neighbours, periodic, secret_scan, suffixes, tokens, toxicity, warc
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,11 @@ def op10_decontamination(spark, folder):
     )
 
 
+@_query
+def op12_minhash_near_dedup(spark, folder):
+    return minhash.near_duplicates(_table(spark, folder, "documents"), minhash.Rule(words=4, percent=80))
+
+
 @_query
 def op13_periodic_runs(spark, folder):
     return periodic.run_digest(periodic.periodic_runs(periodic.with_planted_period(_table(spark, folder, "documents"))))
