@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, jaccard, language, minhash, mixing, neighbours, periodic, secret_scan, suffixes, tokens, toxicity, warc
+from tallyloom.llm import alignment, decontamination, jaccard, language, minhash, mixing, neighbours, periodic, secret_scan, suffixes, tokens, toxicity, warc
 from tallyloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,10 +61,10 @@ def op5_secret_scan(spark, folder):
     return secret_scan.secret_digest(secret_scan.find_secrets(_table(spark, folder, "documents")))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 END_ID = 2
@@ -104,6 +104,12 @@ def op10_decontamination(spark, folder):
     )
 
 
+@_query
+def op11_alignment(spark, folder):
+    pieces = tokenizer_path("piece_bpe_32k.model")
+    return alignment.alignment_digest(_table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path(), pieces)
+
+
 @_query
 def op12_minhash_near_dedup(spark, folder):
     return minhash.near_duplicates(_table(spark, folder, "documents"), minhash.Rule(words=4, percent=80))
