@@ -1,6 +1,6 @@
 """Token ids as fixed-width binary files.
 
-Texts are dealt by ranges of ``doc_id`` and encoded in ascending order, a file per range. A file holds
+Texts are dealt by ranges of ``doc_id`` and encoded in ascending order, files of a bounded size per range. A file holds
 its ids packed in the fewest bits that hold the vocabulary, in blocks of ``BLOCK`` ids that start at
 byte boundaries, then a footer: the byte offset of every block, and the ids and first token of every
 document. Any run of ids is read by reading its blocks only.
@@ -14,9 +14,6 @@ each other by their text and keep a row each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import json
-import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -27,16 +24,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm import storage
+from tallyloom.llm import parts, storage
 from tallyloom.llm import text as tx
 from tallyloom.scratch import new_path, written
 
 BLOCK = 1 << 16
 MAGIC = b"TOKBITS1"
 TAIL = struct.Struct("<QQQII8s")
-# Encoded pieces a worker remembers, and documents' bytes encoded at once.
-REMEMBERED = 300_000
+# Documents' bytes encoded at once, ids after which a file is closed, and rows given back at once.
 ENCODE_BYTES = 8 << 20
+FILE_IDS = 1 << 26
+READ_ROWS = 1 << 16
 
 
 def bits_for(vocabulary: int) -> int:
@@ -62,8 +60,9 @@ def unpack(packed: bytes, n: int, bits: int) -> np.ndarray:
 class TokenWriter:
     def __init__(self, stream, bits: int, block: int = BLOCK):
         self.stream, self.bits, self.block = stream, bits, block
-        self.offsets, self.docs, self.nulls, self.starts = [], [], [], [0]
-        self.at, self.n, self.rest = 0, 0, np.zeros(0, np.uint32)
+        # Ids, null flags and ends of documents come as arrays, one per call.
+        self.offsets, self.docs, self.nulls, self.ends = [], [], [], [np.zeros(1, np.int64)]
+        self.at, self.n, self.n_docs, self.rest = 0, 0, 0, np.zeros(0, np.uint32)
 
     def _write(self, data: bytes) -> None:
         self.stream.write(data)
@@ -76,21 +75,23 @@ class TokenWriter:
             self._write(pack(ids[start : min(start + self.block, upto)], self.bits))
         return ids[upto:]
 
-    def add(self, docs: list, ids: np.ndarray, counts: np.ndarray) -> None:
+    def add(self, docs: pa.Array | list, ids: np.ndarray, counts: np.ndarray) -> None:
         """Documents with their ids one after the other."""
-        self.docs += [0 if d is None else d for d in docs]
-        self.nulls += [d is None for d in docs]
-        self.starts += (self.n + np.cumsum(counts)).tolist()
+        docs = docs if isinstance(docs, pa.Array) else pa.array(docs, pa.int64())
+        self.docs.append(docs.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
+        self.nulls.append(docs.is_null().to_numpy(zero_copy_only=False).astype(np.uint8))
+        self.ends.append(self.n + np.cumsum(counts))
         self.n += len(ids)
+        self.n_docs += len(docs)
         self.rest = self._blocks(np.concatenate((self.rest, ids.astype(np.uint32))), False)
 
     def close(self) -> None:
         self._blocks(self.rest, True)
         self._write(np.array(self.offsets, "<u8").tobytes())
-        self._write(np.array(self.docs, "<i8").tobytes())
-        self._write(np.array(self.nulls, np.uint8).tobytes())
-        self._write(np.array(self.starts, "<u8").tobytes())
-        self._write(TAIL.pack(len(self.offsets), len(self.docs), self.n, self.block, self.bits, MAGIC))
+        for column in (self.docs, self.nulls, self.ends):
+            for values in column:
+                self._write(values.tobytes())
+        self._write(TAIL.pack(len(self.offsets), self.n_docs, self.n, self.block, self.bits, MAGIC))
         self.stream.close()
 
 
@@ -142,106 +143,30 @@ class TokenFile:
             first = last
 
 
-# Lead bytes of the UTF-8 forms of white space and joiners beyond ASCII.
-WIDE_SPACE = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE1, 0xA0), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80), (0xEF, 0xBB))
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
-
-
-def _plain(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Texts in which no two white-space characters meet and none lies beyond ASCII, nor a NUL byte."""
-    n = len(data)
-    odd = data == 0
-    if n > 1:
-        blank = _BLANK[data]
-        odd[1:] |= blank[1:] & blank[:-1]
-        lead = np.flatnonzero(data[:-1] >= 0xC2)
-        pair = data[lead].astype(np.int32) << 8 | data[lead + 1]
-        odd[lead[np.isin(pair, [a << 8 | b for a, b in WIDE_SPACE])]] = True
-    seen = np.concatenate(([0], np.cumsum(odd)))
-    return seen[offsets[1:]] == seen[offsets[:-1]]
-
-
-_CONTROL_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f]")
-
-
-def _parts(text: str) -> list[str]:
-    """The parts between spaces, line ends being parts; a NUL marks those that follow no space."""
-    return ("\0" + text.replace("\n", " \n \0")).split(" ")
-
-
 class Encoder:
-    """Ids of whole texts.
-
-    A byte-level tokenizer that starts a piece at every single space and line end gives a text the ids of
-    its parts between them. Parts are encoded together, a line each, and remembered up to a bound; those
-    beyond it serve one call. Any other tokenizer, and any text where white space meets white space, is
-    encoded whole.
-    """
-
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-        described = json.loads(self.tokenizer.to_str())
-        before = described.get("pre_tokenizer") or {}
-        added = described.get("added_tokens") or []
-        line_end = self._encode(["\n"])[0]
-        self.line_end = np.frombuffer(line_end, self.kind)[0]
-        self.by_parts = (
-            before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
-            and described.get("normalizer") is None and len(line_end) == self.kind.itemsize
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in added)
-        )
-        self.remembered, self.known = remembered, {"\n": line_end}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
-
-    def _encode_lines(self, texts: list[str]) -> list[bytes]:
-        """Texts without line ends, white space at their end, or more than one space at their start."""
-        if not texts:
-            return []
-        ids = np.frombuffer(self._encode(["\n".join(texts)])[0], self.kind)
-        ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
-        if len(ends) != len(texts):
-            return self._encode(texts)
-        raw, size = ids.tobytes(), self.kind.itemsize
-        starts = np.concatenate(([0], ends[:-1] + 1)) * size
-        return [raw[a:b] for a, b in zip(starts.tolist(), (ends * size).tolist())]
-
-    def _learn(self, parts: list[str]) -> None:
-        """A part is marked by a NUL where it follows no space."""
-        marked = [p for p in parts if p[:1] == "\0" and len(p) > 1]
-        spaced = [p for p in parts if p and p[:1] != "\0"]
-        for group, texts in ((marked, [p[1:] for p in marked]), (spaced, [" " + p for p in spaced])):
-            # White space other than spaces could join the line ends put between the texts.
-            encode = self._encode if _CONTROL_SPACE.search("".join(texts)) else self._encode_lines
-            self.known.update(zip(group, encode(texts)))
-        self.known["\0"] = b""
-        self.known[""] = self._encode([" "])[0]
-
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        """Ids of texts given as UTF-8 bytes and offsets."""
-        raw = data.tobytes()
-        texts = [raw[a:b].decode("utf-8") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        plain = (_plain(data, offsets) if self.by_parts else np.zeros(len(texts), bool)).tolist()
-        wanted = set()
-        for text, ok in zip(texts, plain):
-            if ok:
-                wanted.update(_parts(text))
-        missing = list(wanted - self.known.keys())
-        self._learn(missing)
-        whole = iter(self._encode([t for t, ok in zip(texts, plain) if not ok]))
-        known = self.known.__getitem__
-        found = [b"".join(map(known, _parts(t))) if ok else next(whole) for t, ok in zip(texts, plain)]
-        for part in missing[max(0, self.remembered - len(self.known) + len(missing)) :]:
-            self.known.pop(part, None)
-        return found
+    """Ids of whole texts, by the parts between spaces where the tokenizer allows it."""
+
+    def __init__(self, path: str, kept: int = parts.KEPT_PARTS):
+        self.tokenizer = parts.JsonTokenizer(path)
+        self.vocabulary = self.tokenizer.vocabulary
+        self.by_parts = parts.PartEncoder([self.tokenizer.whole], [self.tokenizer.parts], first_spaced=False, most_parts=kept) if self.tokenizer.by_parts else None
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as UTF-8 bytes and offsets, one after the other, and how many each has."""
+        if self.by_parts is not None:
+            return self.by_parts(data, offsets)[0]
+        found = [np.array(i, np.int32) for i in self.tokenizer.whole(parts.as_strings(data, offsets).to_pylist())]
+        return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(i) for i in found], np.int64)
+
+    def ended(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same with ``end_id`` after every text."""
+        ids, counts = self(data, offsets)
+        stops = np.cumsum(counts + 1)
+        out = np.full(stops[-1] if len(stops) else 0, end_id, np.int32)
+        inner = np.ones(len(out), bool)
+        inner[stops - 1] = False
+        out[inner] = ids
+        return out, counts + 1
 
 
 _encoders: dict[str, Encoder] = {}
@@ -253,44 +178,48 @@ def _encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-FILE = "part int, path string, n_docs bigint, n_ids bigint"
+FILE = "part int, number int, path string, n_docs bigint, n_ids bigint"
+_FILE = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer: str, end_id: int, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK
+    docs: DataFrame, tokenizer: str, end_id: int, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS
 ) -> DataFrame:
-    """Writes the files and returns their list: ``part, path, n_docs, n_ids``, parts in id order.
+    """Writes the files and returns their list: ``part, number, path, n_docs, n_ids``, in id order by part, then number.
 
     ``tokenizer`` names a tokenizers file that every executor has at that place; its path is only read.
     """
     spark = docs.sparkSession
     folder = new_path(spark, "tokens")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chosen = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # The text's hash parts the copies of one id, should it hold many rows.
-    dealt = chosen.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    dealt = chosen.repartitionByRange(partitions, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(batches):
-        encoder, writer, uri = _encoder(tokenizer), None, None
+        encoder, writer, uri, number = _encoder(tokenizer), None, None, 0
+
+        def closed():
+            writer.close()
+            row = {"part": TaskContext.get().partitionId(), "number": number, "path": uri, "n_docs": writer.n_docs, "n_ids": writer.n}
+            return pa.RecordBatch.from_pylist([row], _FILE)
+
         for batch in batches:
             for rows, data, offsets in tx.pieces(batch, "text", ENCODE_BYTES):
                 if writer is None:
                     uri, stream = storage.new_file(folder, "ids", ".tok")
                     writer = TokenWriter(stream, bits_for(max(encoder.vocabulary, end_id + 1)), block)
-                end = np.array([end_id], encoder.kind).tobytes()
-                encoded = encoder(data, offsets)
-                counts = np.array([len(e) for e in encoded]) // encoder.kind.itemsize + 1
-                ids = np.frombuffer(b"".join(x for e in encoded for x in (e, end)), encoder.kind)
-                writer.add(rows.column(0).to_pylist(), ids, counts)
+                writer.add(rows.column(0), *encoder.ended(data, offsets, end_id))
+                if writer.n >= file_ids:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer is not None:
-            writer.close()
-            row = {"part": TaskContext.get().partitionId(), "path": uri, "n_docs": len(writer.docs), "n_ids": writer.n}
-            yield pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            yield closed()
 
     return written(dealt.mapInArrow(run, FILE), "token-files")
 
 
-DOCUMENT = "part int, doc_id bigint, local_start bigint, n_tokens bigint, ids_crc32 bigint"
+DOCUMENT = "part int, number int, doc_id bigint, local_start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
@@ -299,23 +228,27 @@ def read_tokens(files: DataFrame) -> DataFrame:
     ``start`` counts the ids of all documents before it: those before it in its file, and those of
     earlier files, a running sum over the list of files.
     """
-    schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("local_start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    names = ["part", "number", "doc_id", "local_start", "n_tokens", "ids_crc32"]
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 with storage.random_access(row["path"]) as handle:
-                    file = TokenFile(handle)
-                    sums = np.fromiter((zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in file.documents()), np.int64)
-                n = len(file.doc_ids)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, row["part"], np.int32)), pa.array(file.doc_ids, mask=file.nulls), pa.array(file.starts[:-1]),
-                     pa.array(np.diff(file.starts)), pa.array(sums)], schema=schema)
-
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    listed = files.select("part", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
-    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    documents = files.repartition(parts, "part").mapInArrow(run, DOCUMENT)
-    return documents.join(listed, "part").select(
+                    file, sums = TokenFile(handle), []
+                    for document, ids in file.documents():
+                        sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                        if len(sums) == READ_ROWS or document + 1 == len(file.doc_ids):
+                            low, high = document + 1 - len(sums), document + 1
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(high - low, row[name], np.int32)) for name in names[:2]]
+                                + [pa.array(file.doc_ids[low:high], mask=file.nulls[low:high]), pa.array(file.starts[low:high]),
+                                   pa.array(np.diff(file.starts[low : high + 1])), pa.array(sums, pa.int64())], names=names)
+                            sums = []
+
+    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
+    listed = files.select("part", "number", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
+    partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    documents = files.repartition(partitions, "part", "number").mapInArrow(run, DOCUMENT)
+    return documents.join(listed, ["part", "number"]).select(
         "doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
     )

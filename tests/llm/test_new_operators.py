@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import compare
-from tallyloom.llm import alignment, minhash, oracles, parts, periodic, queries
+from tallyloom.llm import alignment, minhash, oracles, parts, periodic, queries, tokens
 from tallyloom.llm import text as tx
 from tallyloom.llm.shipping import ship
 
@@ -170,6 +170,21 @@ def test_parts_that_outgrow_the_bound_start_anew():
         assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+# 6 Files of a bounded size
+
+
+def test_token_files_are_closed_at_their_bound(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "READ_ROWS", 3)
+    frame = spark.createDataFrame([(i, f"text {i} of many " * (i % 7)) for i in range(400)], "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(tokens, "ENCODE_BYTES", 256)
+    files = tokens.write_tokens(frame, A, 2, file_ids=200)
+    rows = files.collect()
+    assert len(rows) > 16 and max(r.n_ids for r in rows) < 500 and sum(r.n_docs for r in rows) == 400
+    found = sorted(tuple(r) for r in tokens.read_tokens(files).collect())
+    plain = sorted(tuple(r) for r in tokens.read_tokens(tokens.write_tokens(frame, A, 2)).collect())
+    assert found == plain and len(found) == 400
+
+
 # 12 Signatures
 
 
