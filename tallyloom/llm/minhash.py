@@ -15,10 +15,12 @@ Counting the agreements never merges whole lists:
   which lie beside the list entries as eight planes of one bit per coordinate (a byte of each minimum). Different
   minima with equal bytes can only raise the count, so no candidate is lost.
 
-Groups of thousands of near copies: every list is scanned against its most central class first, and each class keeps the
-one it agrees with most; confirmed links join them into components. Then lists are scanned for pairs of different
-components only. Both are joins on the list's key that the adaptive join splits when a key is frequent.
-Only pairs above the threshold leave a join.
+Groups of thousands of near copies: every list, long ones too, has its most central class, the one whose lists are longest;
+each class meets the central classes of its lists and keeps the one it meets in most of them, and confirmed links
+join classes into components. Two such rounds take a row per list entry. Then prefixes are scanned for pairs of
+different components only, a join on the list's key that the adaptive join splits when a key is frequent. Only pairs
+above the threshold leave it, and of those only the ones whose parity sketches (a bit per slot, odd where an odd
+number of elements falls into it) do not prove that the sets differ by too much.
 
 Texts are read twice: for the signatures, and for the sets of the classes still in a list, found through a filter
 of ``FILTER_BITS`` bits; what it lets through too much is dropped by a join. Beyond some ten million such classes the filter
@@ -49,6 +51,8 @@ COORDINATES = 64
 # Probability that a pair at the similarity asked for agrees in fewer coordinates than the threshold.
 MISS = 1e-6
 PLANES = 8
+PARITY_WORDS = 16
+STAR_ROUNDS = 2
 FILTER_BITS = 1 << 25
 
 _numbers = np.arange(1, COORDINATES + 1, dtype=np.uint64)
@@ -116,6 +120,19 @@ def planes(minima: np.ndarray) -> np.ndarray:
     return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").copy().view("<i8").reshape(-1, PLANES)
 
 
+def parities(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per set that is not empty a bit per slot: whether an odd number of its elements falls into it."""
+    slots, sizes = 64 * PARITY_WORDS, np.diff(bounds)
+    rows, out = np.flatnonzero(sizes), []
+    slot = (tx.mix(elements + np.uint64(0x33)) % np.uint64(slots)).astype(np.int64)
+    for at in range(0, len(rows), 1024):
+        some = rows[at : at + 1024]
+        own = slot[bounds[some[0]] : bounds[some[-1] + 1]] + np.repeat(np.arange(len(some)) * slots, sizes[some])
+        odd = (np.bincount(own, minlength=len(some) * slots) & 1).astype(np.uint8)
+        out.append(np.packbits(odd, bitorder="little").view("<i8").reshape(-1, PARITY_WORDS))
+    return np.concatenate(out) if out else np.zeros((0, PARITY_WORDS), np.int64)
+
+
 def _class_names(elements: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two sums over each set's elements, 128 bits that name it."""
     sums = []
@@ -131,10 +148,10 @@ def _lists(flat: np.ndarray, full: np.ndarray, width: int) -> pa.Array:
 
 
 def _signed_rows(named: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, k1, k2, rid, c1, c2, n, minima, planes`` per row; ``rid`` numbers the rows of this table."""
+    """``doc_id, k1, k2, rid, c1, c2, n, minima, planes, parity`` per row; ``rid`` numbers the rows of this table."""
     kind = named.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "k1", "k2", "rid", "c1", "c2", "n", "minima", "planes"]
-    shape = f"doc_id {kind}, k1 bigint, k2 bigint, rid bigint, c1 bigint, c2 bigint, n bigint, minima array<int>, planes array<bigint>"
+    names = ["doc_id", "k1", "k2", "rid", "c1", "c2", "n", "minima", "planes", "parity"]
+    shape = f"doc_id {kind}, k1 bigint, k2 bigint, rid bigint, c1 bigint, c2 bigint, n bigint, minima array<int>, planes array<bigint>, parity array<bigint>"
 
     def run(batches):
         number = TaskContext.get().partitionId() << 33
@@ -145,7 +162,8 @@ def _signed_rows(named: DataFrame, rule: Rule) -> DataFrame:
                 c1, c2 = _class_names(elements, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), rows.column(2), pa.array(number + np.arange(len(full))), pa.array(c1), pa.array(c2),
-                     pa.array(np.diff(bounds)), _lists(minima.view(np.int32), full, COORDINATES), _lists(planes(minima), full, PLANES)],
+                     pa.array(np.diff(bounds)), _lists(minima.view(np.int32), full, COORDINATES), _lists(planes(minima), full, PLANES),
+                     _lists(parities(elements, bounds), full, PARITY_WORDS)],
                     names=names,
                 )
                 number += len(full)
@@ -162,21 +180,24 @@ def _agreements(a: str, b: str) -> Column:
     return F.lit(COORDINATES) - F.bit_count(reduce(Column.bitwiseOR, differ))
 
 
-def _prefix_lists(classes: DataFrame, least: int) -> DataFrame:
-    """``key, rid, reach, n, p0...``: the prefix of every class that may have a partner.
+def _may_link(rule: Rule, a: str, b: str) -> Column:
+    """False only where the parity sketches prove that the sets differ by too much."""
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i])) for i in range(PARITY_WORDS)])
+    s, t = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return differ <= s + t - 2 * F.ceil(F.lit(rule.percent) * (s + t) / F.lit(100 + rule.percent))
+
 
-    ``reach`` grows with the length of all its lists. The order of the lists is by length, then key.
+def _shared_lists(classes: DataFrame, least: int) -> DataFrame:
+    """``rid, reach, lists`` of every class that may have a partner: the lists it shares as ``entries, key``, in order of length.
+
+    ``reach`` grows with the length of all its lists.
     """
     key = F.shiftleft(F.col("pos").cast("bigint"), 32).bitwiseOR(F.col("value").cast("bigint").bitwiseAND(0xFFFFFFFF))
     posts = classes.select("rid", F.posexplode("minima").alias("pos", "value")).select("rid", key.alias("key"))
     shared = posts.groupBy("key").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
     met = posts.join(shared, "key").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("entries", "key"))).alias("lists"))
-    met = met.where(F.size("lists") >= least)
     reach = F.aggregate("lists", F.lit(0.0), lambda total, one: total + F.log(one.entries.cast("double")))
-    first = F.slice("lists", F.lit(1), F.size("lists") - F.lit(least - 1))
-    narrow = classes.select("rid", "n", *[F.col("planes")[i].alias(f"p{i}") for i in range(PLANES)])
-    prefixes = met.select("rid", reach.alias("reach"), first.alias("first")).join(narrow, "rid")
-    return written(prefixes.withColumn("key", F.explode("first.key")).drop("first"), "prefix-lists")
+    return written(met.where(F.size("lists") >= least).select("rid", reach.alias("reach"), "lists"), "shared-lists")
 
 
 def _filter(names: DataFrame) -> np.ndarray:
@@ -231,27 +252,50 @@ def _confirmed(pairs: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame:
     return written(joined.mapInArrow(check, "a bigint, b bigint"), "confirmed")
 
 
-def _links(lists: DataFrame, whole: DataFrame, rule: Rule, least: int) -> DataFrame:
+def _star(lists: DataFrame, parts: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """Pairs ``a, b``: every class and the central class it meets in most of its lists, of another component and not tried yet."""
+    entries = lists.join(parts, "rid").select("rid", "reach", "part", F.explode("lists.key").alias("key"))
+    hubs = entries.groupBy("key").agg(F.max(F.struct("reach", "rid", "part")).alias("hub")).select("key", F.col("hub.rid").alias("other"), F.col("hub.part").alias("other_part"))
+    met = entries.join(hubs, "key").where("part <> other_part").groupBy("rid", "other").agg(F.count(F.lit(1)).alias("times"))
+    pair = met.select("rid", F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b"), "other", "times")
+    if tried is not None:
+        pair = pair.join(tried, ["a", "b"], "left_anti")
+    best = pair.groupBy("rid").agg(F.max(F.struct("times", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b").distinct()
+
+
+def _parts(lists: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``rid, part``: the component of every class in a list."""
+    names = lists.select("rid")
+    if links is None:
+        return names.select("rid", F.col("rid").alias("part"))
+    found = components(links).select(F.col("node").alias("rid"), "root")
+    return written(names.join(found, "rid", "left").select("rid", F.coalesce("root", "rid").alias("part")), "parts")
+
+
+def _links(lists: DataFrame, signed: DataFrame, whole: DataFrame, rule: Rule, least: int) -> DataFrame:
     """Confirmed links ``a, b`` that hold every component together."""
-    hubs = lists.groupBy("key").agg(F.max(F.struct("reach", "rid", "n", *[f"p{i}" for i in range(PLANES)])).alias("hub")).select("key", "hub.*")
-    x, h = lists.alias("x"), hubs.alias("h")
-    alike = _agreements("x", "h")
-    star = x.join(h, (F.col("x.key") == F.col("h.key")) & (F.col("x.rid") != F.col("h.rid")) & _near_size(rule, F.col("x.n"), F.col("h.n")) & (alike >= least))
-    best = star.select(F.col("x.rid").alias("rid"), alike.alias("alike"), F.col("h.rid").alias("other")).groupBy("rid").agg(F.max(F.struct("alike", "other"))["other"].alias("other"))
-    pairs = best.select(F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b")).distinct()
-    first = _confirmed(pairs, whole, rule)
-    parts = components(first)
-    labelled = lists.drop("reach").join(parts.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("part", F.coalesce("root", "rid")).drop("root")
-    open_ = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
-    rows = written(labelled.join(open_, "key"), "open-lists")
+    links = tried = None
+    for _ in range(STAR_ROUNDS):
+        pairs = written(_star(lists, _parts(lists, links), tried), "star")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = _confirmed(pairs, whole, rule)
+        links = found if links is None else links.unionByName(found)
+    # The prefix: the shortest lists, one more than those that a partner at the threshold may miss.
+    first = F.slice("lists", F.lit(1), F.size("lists") - F.lit(least - 1))
+    prefixes = lists.join(_parts(lists, links), "rid").select("rid", "part", F.explode(F.transform(first, lambda one: one.key)).alias("key"))
+    open_ = prefixes.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    narrow = signed.select("rid", "n", "parity", *[F.col("planes")[i].alias(f"p{i}") for i in range(PLANES)])
+    rows = written(prefixes.join(open_, "key").join(narrow, "rid"), "open-lists")
     x, y = rows.alias("x"), rows.alias("y")
     met = x.join(
         y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rid") < F.col("y.rid")) & (F.col("x.part") != F.col("y.part"))
-        & _near_size(rule, F.col("x.n"), F.col("y.n")) & (_agreements("x", "y") >= least),
+        & _near_size(rule, F.col("x.n"), F.col("y.n")) & (_agreements("x", "y") >= least) & _may_link(rule, "x", "y"),
     )
-    rest = _confirmed(met.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), whole, rule)
+    pairs = met.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = _confirmed(pairs, whole, rule)
     discard(rows)
-    return first.unionByName(rest)
+    return links.unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,11 +306,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, doc_id: str = "doc_
     rows = _signed_rows(named, rule)
     own = rows.where("n > 0").groupBy("c1", "c2").agg(F.min(F.struct("rid", "k1", "k2")).alias("one"), F.min("doc_id").alias("lowest"))
     classes = written(own.select("c1", "c2", "one.*", "lowest"), "classes")
-    signed = written(rows.join(classes.select("rid"), "rid", "left_semi").select("rid", "n", "minima", "planes"), "class-signatures")
-    lists = _prefix_lists(signed, least)
-    wanted = classes.select("rid", "k1", "k2").join(lists.select("rid").distinct(), "rid", "left_semi")
+    signed = written(rows.join(classes.select("rid"), "rid", "left_semi").select("rid", "n", "minima", "planes", "parity"), "class-signatures")
+    lists = _shared_lists(signed, least)
+    wanted = classes.select("rid", "k1", "k2").join(lists.select("rid"), "rid", "left_semi")
     whole = _whole_sets(named, wanted, rule)
-    parts = components(_links(lists, whole, rule, least))
+    parts = components(_links(lists, signed, whole, rule, least))
     labelled = written(classes.join(parts.select(F.col("node").alias("rid"), "root"), "rid", "left").select("c1", "c2", "lowest", F.coalesce("root", "rid").alias("root")), "labelled")
     lowest = labelled.groupBy("root").agg(F.min("lowest").alias("component_id"))
     by_class = labelled.select("c1", "c2", "root").join(lowest, "root").select("c1", "c2", "component_id")
