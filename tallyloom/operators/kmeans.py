@@ -6,11 +6,12 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.geometry import Point, means_distance, nearest_center, nearest_center_few
 from tallyloom.functions.tokens import check_vocabulary, literal_array
+from tallyloom.operators.selection import weighted_median
 from tallyloom.operators.sampling import SEED, sample_stratified, sample_uniform
 
 # The clustering's default parameters.
@@ -36,6 +37,9 @@ class Round:
     distance: float
     old: list[Point]
     new: list[Point]
+    sizes: list[int]
+    # Distances between points and means that were computed; -1 if they were not counted.
+    computed: int = -1
 
 
 @dataclass(frozen=True)
@@ -50,16 +54,19 @@ class Clustering:
         return spark.sql(f"SELECT * FROM VALUES {rows} AS means(cluster, x, y)")
 
     def history_frame(self, spark: SparkSession) -> DataFrame:
-        """One row per round and cluster; for looking at how the means moved."""
-        rows = [
-            (r.iteration, i, *old, *new, means_distance([old], [new]))
+        """One row per round and cluster: how its mean moved, and the vectors it had when the means were taken."""
+        rows = ", ".join(
+            f"({r.iteration}, {i}, {old[0]}, {old[1]}, {new[0]}, {new[1]}, {size}L, {means_distance([old], [new])!r}D)"
             for r in self.history
-            for i, (old, new) in enumerate(zip(r.old, r.new))
-        ]
-        return spark.createDataFrame(
-            rows,
-            "iteration int, cluster int, old_x int, old_y int, new_x int, new_y int, distance double",
+            for i, (old, new, size) in enumerate(zip(r.old, r.new, r.sizes))
         )
+        names = "iteration, cluster, old_x, old_y, new_x, new_y, size, distance"
+        return spark.sql(f"SELECT * FROM VALUES {rows} AS history({names})")
+
+    def rounds_frame(self, spark: SparkSession) -> DataFrame:
+        """One row per round: the distance all means moved together, and the distances computed for it."""
+        rows = ", ".join(f"({r.iteration}, {r.distance!r}D, {r.computed}L)" for r in self.history)
+        return spark.sql(f"SELECT * FROM VALUES {rows} AS rounds(iteration, distance, computed)")
 
 
 def compact(vectors: DataFrame) -> DataFrame:
@@ -121,9 +128,14 @@ def cluster_means(points: DataFrame, means: Sequence[Point], few: bool = False)
 
 def kmeans_step(points: DataFrame, means: Sequence[Point], few: bool = False) -> list[Point]:
     """New means; a cluster without points keeps its old one. Collects one row per mean."""
-    rows = cluster_means(points, means, few).collect()
-    moved = {row["cluster"]: (row["x"], row["y"]) for row in rows}
-    return [moved.get(index, old) for index, old in enumerate(means)]
+    return _moved(cluster_means(points, means, few).collect(), means)[0]
+
+
+def _moved(sums: list[Row], means: Sequence[Point]) -> tuple[list[Point], list[int]]:
+    """New means and the vectors of each, from one row per cluster that has any."""
+    found = {row["cluster"]: row for row in sums}
+    new = [(found[i]["x"], found[i]["y"]) if i in found else old for i, old in enumerate(means)]
+    return new, [found[i]["size"] if i in found else 0 for i in range(len(means))]
 
 
 def kmeans(
@@ -146,9 +158,10 @@ def kmeans(
     current = list(means)
     iteration = start
     while True:
-        new = kmeans_step(points, current, few)
+        sums = cluster_means(points, current, few).collect()
+        new, sizes = _moved(sums, current)
         distance = means_distance(current, new)
-        history.append(Round(iteration, distance, current, new))
+        history.append(Round(iteration, distance, current, new, sizes))
         current = new
         if distance < eta:
             return Clustering(current, True, history)
@@ -163,8 +176,8 @@ def cluster_results(
     """``label, percent, size, median`` per cluster that has points, by median.
 
     The label is the cluster's most frequent topic, the first in the vocabulary on a tie, and
-    percent its share. The median is that of the scores, cut to a whole number. It is computed from
-    the counts of the different scores, never from the list of all vectors.
+    percent its share. The median is that of the scores, cut to a whole number. It is selected by counts of ranges
+    of scores, so no cluster's scores are ever held together.
     """
     terms = literal_array(check_vocabulary(vocabulary))
     assigned = assign(points, means)
@@ -172,9 +185,7 @@ def cluster_results(
     top = topics.groupBy("cluster").agg(
         F.max(F.struct("n", (-F.col("x")).alias("before"))).alias("top"), F.sum("n").alias("size")
     )
-    scores = assigned.groupBy("cluster").agg(
-        F.percentile("y", F.lit(0.5), F.col("wt")).cast("int").alias("median")
-    )
+    scores = weighted_median(assigned, "cluster", "y", "wt").withColumn("median", F.col("median").cast("int"))
     topic = F.expr(f"-top.before div {int(spread)}").cast("int")
     return (
         top.join(scores, "cluster")
@@ -197,6 +208,15 @@ def cluster_report(results: DataFrame) -> DataFrame:
     )
 
 
+def report_rows(results: DataFrame) -> DataFrame:
+    """``number, line`` of the whole report, the header's lines first; numbers start at 1."""
+    lines = cluster_report(results).withColumn("place", F.monotonically_increasing_id())
+    # A row per cluster: one task numbers them.
+    number = F.row_number().over(Window.orderBy("place")) + F.lit(len(REPORT_HEADER))
+    header = results.sparkSession.range(1).select(F.posexplode(literal_array(REPORT_HEADER)).alias("place", "line"))
+    return header.select((F.col("place") + 1).alias("number"), "line").unionByName(lines.select(number.alias("number"), "line"))
+
+
 def print_report(results: DataFrame) -> None:
     """Header and lines on standard output; one line per cluster is collected."""
     print("\n".join([*REPORT_HEADER, *(row["line"] for row in cluster_report(results).collect())]))

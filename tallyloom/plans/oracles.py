@@ -5,7 +5,7 @@ from __future__ import annotations
 from tallyloom.operators import kmeans as km
 from tallyloom.operators.sampling import SEED
 from tallyloom.plans import tables
-from tallyloom.plans.queries import BLOCK_ANSWERS, BLOCK_TITLES, KERNELS, PER_TOPIC
+from tallyloom.plans.queries import BLOCK_ANSWERS, BLOCK_TITLES, KERNELS, PER_TOPIC, SAMPLED
 
 # More rounds than any of the test scales needs; converged means stay as they are.
 KMEANS_ROUNDS = 20
@@ -75,6 +75,22 @@ vocabulary AS (
 tokens AS (SELECT DISTINCT title, text, unnest(string_split(text, ' ')) AS term FROM articles),
 mentions AS (SELECT term, title, text, position FROM tokens JOIN vocabulary USING (term))"""
 
+_TABLE_MENTIONS = _ARTICLES + """,
+vocabulary AS (
+  SELECT term, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) AS position FROM (
+    SELECT unnest(string_split(text, ' ')) AS term FROM conversations UNION SELECT c_name FROM customer
+  ) WHERE length(term) >= 3
+),
+tokens AS (SELECT DISTINCT title, text, unnest(string_split(text, ' ')) AS term FROM articles),
+mentions AS (SELECT term, title, text, position FROM tokens JOIN vocabulary USING (term))"""
+
+_LOOKED_UP = _ARTICLES + f""",
+vocabulary AS (
+  SELECT unnest({_list(tables.LOOKED_UP)}) AS term, unnest(range({len(tables.LOOKED_UP)})) AS position
+),
+tokens AS (SELECT DISTINCT title, unnest(string_split(text, ' ')) AS term FROM articles),
+mentions AS (SELECT term, title, position FROM tokens JOIN vocabulary USING (term))"""
+
 _SURVEY = """
 survey AS (
   SELECT 'r-' || l_orderkey || '-' || l_linenumber AS tucaseid,
@@ -202,11 +218,33 @@ medians AS (
   SELECT cluster, trunc(median(y))::INTEGER AS median FROM assigned GROUP BY cluster
 ),
 results AS (
-  SELECT ({_list(tables.TOPICS)})[x // {km.SPREAD} + 1] AS label, 100.0::DOUBLE * n / size AS percent,
+  SELECT cluster, ({_list(tables.TOPICS)})[x // {km.SPREAD} + 1] AS label, 100.0::DOUBLE * n / size AS percent,
          size::BIGINT AS size, median
   FROM ranked JOIN medians USING (cluster) WHERE r = 1
 )"""
 
+# Rounds until the means have converged, a row per mean.
+_HISTORY = _with(
+    _kmeans(KMEANS_ROUNDS),
+    "\nUNION ALL ".join(
+        f"SELECT {n} AS iteration, o.i::INTEGER AS cluster, o.x::INTEGER AS old_x, o.y::INTEGER AS old_y, m.x::INTEGER AS new_x, "
+        f"m.y::INTEGER AS new_y, coalesce(s.size, 0)::BIGINT AS size, ((m.x - o.x) * (m.x - o.x) + (m.y - o.y) * (m.y - o.y))::DOUBLE AS distance "
+        f"FROM m{n - 1} o JOIN m{n} m USING (i) LEFT JOIN (SELECT cluster, sum(wt) AS size FROM a{n} GROUP BY cluster) s ON s.cluster = o.i "
+        "WHERE NOT o.done"
+        for n in range(1, KMEANS_ROUNDS + 1)
+    ),
+)
+
+_DRAWN = _VECTORS + f""",
+points AS (SELECT x, y, count(*) AS wt FROM vectors GROUP BY x, y),
+lots AS (
+  SELECT x, y, copy, sum(step) OVER (PARTITION BY x, y ORDER BY copy) AS key FROM (
+    SELECT x, y, copy, -ln((CAST('0x' || substr(md5('{SEED}:' || x || ':' || y || ':' || copy), 1, 13) AS BIGINT)::DOUBLE + 0.5)
+      / {1 << 52}::DOUBLE) / (wt - copy + 1) AS step
+    FROM (SELECT *, unnest(range(1, least(wt, {SAMPLED}) + 1)) AS copy FROM points)
+  )
+)"""
+
 _RANKED = "SELECT term, count(*) AS n FROM mentions GROUP BY term, position ORDER BY n DESC, position"
 _RANK_FOUND = _with(_MENTIONS, _RANKED)
 
@@ -276,6 +314,7 @@ def oracle_sql() -> dict[str, str]:
         "src_csv_infer": _with(_SURVEY, "SELECT * FROM survey"),
         "src_json_typed": "SELECT * FROM events",
         "src_article_dump": _with(_ARTICLES, "SELECT title, text FROM articles"),
+        "src_article_records": _with(_ARTICLES, "SELECT title, text FROM articles"),
         "mention_count": _with(
             _ARTICLES,
             "SELECT 'the' AS term, count(*) AS n FROM articles "
@@ -294,6 +333,14 @@ def oracle_sql() -> dict[str, str]:
         "rank_index_long": _with(_PAIR_MENTIONS, _RANKED),
         "inverted_index_long": _with(_PAIR_MENTIONS, "SELECT term, title, text FROM mentions"),
         "inverted_index_blocks_long": _index_blocks(_PAIR_MENTIONS),
+        "rank_vocabulary_table": _with(
+            _TABLE_MENTIONS,
+            "SELECT v.term, count(m.title) AS n FROM vocabulary v LEFT JOIN mentions m ON v.term = m.term "
+            "GROUP BY v.term, v.position ORDER BY n DESC, v.position, v.term",
+        ),
+        "index_vocabulary_table": _with(_TABLE_MENTIONS, "SELECT term, title, text FROM mentions"),
+        "stored_index_lookup": _with(_LOOKED_UP, "SELECT term, title, count(*) AS copies FROM mentions GROUP BY term, title"),
+        "stored_index_rank": _with(_LOOKED_UP, _RANKED),
         "word_count": _with(
             _ARTICLES,
             "SELECT word, count(*) AS n, word || ' ' || count(*) AS line FROM "
@@ -317,6 +364,7 @@ def oracle_sql() -> dict[str, str]:
         "row_extract": _GROUP_AVG,
         "column_classify": _classified(),
         "timeuse_summary": _with(_SUMMARY, "SELECT * FROM summary"),
+        "timeuse_summary_long": _with(_SUMMARY, "SELECT * FROM summary"),
         "timeuse_typed_rows": _with(_SUMMARY, "SELECT * FROM summary"),
         "timeuse_grouped": _GROUPED,
         "timeuse_sql": _GROUPED,
@@ -364,13 +412,28 @@ closest AS ({_closest('m0')})""",
         ),
         "kmeans_step": _means(1),
         "kmeans": _means(KMEANS_ROUNDS),
+        "kmeans_bounded": _means(KMEANS_ROUNDS),
+        "kmeans_history": _HISTORY,
+        "sample_points": _with(_DRAWN, f"SELECT x, y, copy FROM lots ORDER BY key, x, y LIMIT {SAMPLED}"),
+        "sample_points_stratified": _with(
+            _DRAWN,
+            "SELECT x, y, copy, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY key, x, y) AS rank FROM lots) "
+            f"WHERE rank <= {SAMPLED}",
+        ),
+        "group_median": "SELECT l_returnflag, median(round(l_extendedprice * 100)::BIGINT) AS median FROM lineitem GROUP BY l_returnflag",
         "kmeans_late_start": _means(3),
         "kmeans_compiled": _means(KMEANS_ROUNDS),
-        "cluster_results": _with(_RESULTS, "SELECT * FROM results ORDER BY median"),
+        "cluster_results": _with(_RESULTS, "SELECT * EXCLUDE (cluster) FROM results ORDER BY median, cluster"),
         "cluster_report": _with(
             _RESULTS,
             "SELECT printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, percent, size) AS line "
-            "FROM results ORDER BY median",
+            "FROM results ORDER BY median, cluster",
+        ),
+        "cluster_report_rows": _with(
+            _RESULTS,
+            f"SELECT unnest(range(1, {len(km.REPORT_HEADER) + 1}))::INTEGER AS number, unnest({_list(km.REPORT_HEADER)}) AS line "
+            f"UNION ALL SELECT ({len(km.REPORT_HEADER)} + row_number() OVER (ORDER BY median, cluster))::INTEGER, "
+            "printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, percent, size) FROM results",
         ),
         "set_reconcile": """
 SELECT 'unexpected' AS side, key FROM (

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.geometry import nearest_center as closest_center
 from tallyloom.operators import checks, kmeans as km, postings as po, relational as rel
-from tallyloom.operators import sampling, terms, timeuse
+from tallyloom.operators import sampling, selection, stored_index, terms, timeuse, wide_terms
+from tallyloom.operators.bounded_kmeans import bounded_kmeans
 from tallyloom.plans import tables
 from tallyloom.plans.jobs import PostingClusters, cluster_postings
 from tallyloom.scratch import new_path, written
@@ -26,6 +27,8 @@ RANGE_ROWS = 500
 # Small blocks, so that the test tables fill more than one.
 BLOCK_ANSWERS = 8
 BLOCK_TITLES = 100
+# Vectors sampled from weighted points.
+SAMPLED = 45
 
 _registered: dict[str, Query] = {}
 
@@ -70,9 +73,26 @@ def _event_file(spark: SparkSession, folder: str) -> str:
     return _stage(spark, folder, "events-json", events.json)
 
 
+def _dump_file(spark: SparkSession, folder: str) -> str:
+    """Articles with the line breaks of their texts."""
+    return _stage(spark, folder, "article-dump", tables.article_lines(spark, folder).write.text)
+
+
+_indexes: dict[str, stored_index.StoredIndex] = {}
+
+
+def _term_index(spark: SparkSession, folder: str) -> stored_index.StoredIndex:
+    """An index of every token of the articles, written once per application."""
+    def write(path: str) -> None:
+        tokens = wide_terms.article_tokens(tables.articles(spark, folder), "title")
+        _indexes[path] = stored_index.write_index(tokens, block_titles=BLOCK_TITLES, path=path)
+
+    return _indexes[_stage(spark, folder, "term-index", write)]
+
+
 def stage_inputs(spark: SparkSession, folder: str) -> None:
-    """Writes what the file-source queries read, so that timing them times the readers."""
-    for stage in (_posting_file, _survey_file, _event_file):
+    """Writes what the file-source queries and lookups read, so that timing them times the readers."""
+    for stage in (_posting_file, _survey_file, _event_file, _dump_file, _term_index):
         stage(spark, folder)
 
 
@@ -107,6 +127,11 @@ def src_article_dump(spark, folder):
     return article_source.decode_articles(tables.article_lines(spark, folder))
 
 
+@_query
+def src_article_records(spark, folder):
+    return article_source.read_articles(spark, _dump_file(spark, folder))
+
+
 # Terms.
 
 
@@ -167,6 +192,26 @@ def _blocks(index):
     )
 
 
+@_query
+def rank_vocabulary_table(spark, folder):
+    return wide_terms.rank_table(tables.articles(spark, folder), tables.vocabulary(spark, folder), absent=True)
+
+
+@_query
+def index_vocabulary_table(spark, folder):
+    return wide_terms.index_table(tables.articles(spark, folder), tables.vocabulary(spark, folder))
+
+
+@_query
+def stored_index_lookup(spark, folder):
+    return stored_index.lookup(spark, _term_index(spark, folder), tables.LOOKED_UP)
+
+
+@_query
+def stored_index_rank(spark, folder):
+    return stored_index.rank_stored(spark, _term_index(spark, folder), tables.LOOKED_UP)
+
+
 @_query
 def word_count(spark, folder):
     return terms.word_count(terms.split_words(tables.articles(spark, folder)))
@@ -260,6 +305,11 @@ def timeuse_typed(spark, folder):
     return timeuse.timeuse_typed(timeuse.timeuse_summary(tables.survey(spark, folder)))
 
 
+@_query
+def timeuse_summary_long(spark, folder):
+    return timeuse.timeuse_summary_long(tables.survey(spark, folder))
+
+
 # Postings.
 
 
@@ -342,11 +392,8 @@ def _means(spark: SparkSession, folder: str, **parameters) -> DataFrame:
 
 
 def _results(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per cluster, taken before the points go."""
-    found = _clusters(spark, folder)
-    rows = [tuple(row) for row in found.results.collect()]
-    found.discard()
-    return spark.createDataFrame(rows, found.results.schema).orderBy("median")
+    """A row per cluster. The table of points stays, as the rows are read from it."""
+    return _clusters(spark, folder).results
 
 
 @_query
@@ -366,6 +413,38 @@ def kmeans_late_start(spark, folder):
     return _means(spark, folder, start=118)
 
 
+@_query
+def kmeans_bounded(spark, folder):
+    vectors, start = _start(spark, folder)
+    return bounded_kmeans(km.compact(vectors), start).means_frame(spark)
+
+
+@_query
+def kmeans_history(spark, folder):
+    found = _clusters(spark, folder)
+    found.discard()
+    return found.clustering.history_frame(spark)
+
+
+@_query
+def sample_points(spark, folder):
+    return sampling.sample_points(km.compact(_vectors(spark, folder)), SAMPLED).select("x", "y", "copy")
+
+
+@_query
+def sample_points_stratified(spark, folder):
+    drawn = sampling.sample_points(km.compact(_vectors(spark, folder)), SAMPLED, stratum="x")
+    return drawn.select("x", "y", "copy", "rank")
+
+
+@_query
+def group_median(spark, folder):
+    """The median price, in cents, of the line items with each return flag."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
+    prices = tables.table(spark, folder, "lineitem").select("l_returnflag", cents, F.lit(1).alias("wt"))
+    return selection.weighted_median(prices, "l_returnflag", "cents", "wt")
+
+
 @_query
 def cluster_results(spark, folder):
     return _results(spark, folder)
@@ -376,6 +455,11 @@ def cluster_report(spark, folder):
     return km.cluster_report(_results(spark, folder))
 
 
+@_query
+def cluster_report_rows(spark, folder):
+    return km.report_rows(_results(spark, folder))
+
+
 # Checks.
 
 

@@ -13,6 +13,8 @@ PAIR_TERMS = tuple(a + b for a in LETTERS for b in LETTERS)
 # "in" and "the" are tied at one scale, "Clojure" does not occur.
 TERMS = ("the", "in", "and", "The", "of", "with", "Clojure")
 
+LOOKED_UP = (*TERMS, "is", "at", "by")
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -49,6 +51,15 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every token of three letters or more of the conversations, and the customers' names, which no article mentions."""
+    spoken = table(spark, folder, "conversations").select(F.explode(F.split(F.coalesce("text", F.lit("")), " ")).alias("term"))
+    named = table(spark, folder, "customer").select(F.col("c_name").alias("term"))
+    terms = spoken.unionByName(named).where(F.length("term") >= 3).distinct()
+    position = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return terms.select(position.alias("position"), "term")
+
+
 def article_lines(spark: SparkSession, folder: str) -> DataFrame:
     line = F.concat(
         F.lit("<page> <title>"),

@@ -1,14 +1,15 @@
-"""Articles from a one-line-per-article markup dump."""
+"""Articles from a markup dump, an article per line or per record of several lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the dump format.
 SEPARATOR = "</title><text>"
 HEAD_CHARS = 14
 TAIL_CHARS = 16
+RECORD_END = "</page>"
 
 
 def decode_articles(
@@ -41,3 +42,21 @@ def decode_articles(
         part(F.lit(head + 1), F.col("at") - (head + 1)).alias("title"),
         part(F.col("at") + len(separator), text_length).alias("text"),
     )
+
+
+def read_articles(
+    spark: SparkSession, path: str, *, end: str = RECORD_END, head: int = HEAD_CHARS, tail: int = TAIL_CHARS, separator: str = SEPARATOR
+) -> DataFrame:
+    """``title`` and ``text`` of the articles of a dump whose texts hold line breaks.
+
+    A record ends with ``end`` and a line end, the last one perhaps without the latter. The reader looks for that
+    separator, so large files are still split among tasks. White space between records is left out; a record
+    that is no article raises.
+    """
+    if not end or tail < len(end):
+        raise ValueError("the tail must hold the end of a record")
+    records = spark.read.option("lineSep", f"{end}\n").text(path)
+    # Only the last record can still have its end.
+    whole = F.regexp_replace(F.regexp_replace("value", r"^\s+", ""), rf"\Q{end}\E\s*\z", "")
+    full = records.select(whole.alias("value")).where("value <> ''")
+    return decode_articles(full, head=head, tail=tail - len(end), separator=separator)
