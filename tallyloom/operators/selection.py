@@ -24,8 +24,11 @@ def weighted_ranks(frame: DataFrame, group: str, value: str, weight: str, ranks:
     size = _SIZES.get(type(frame.schema[value].dataType))
     if size is None:
         raise ValueError(f"values must be whole numbers, not {frame.schema[value].dataType.simpleString()}")
-    # The sign bit is turned, so that ranges rise with the values.
-    turned = F.col(value).cast("bigint").bitwiseXOR(F.lit(1 << (size - 1) if size < 64 else -(1 << 63)))
+    # The sign bit is turned, so that ranges rise with the values, and nothing stands above it.
+    sign = F.lit(1 << (size - 1) if size < 64 else -(1 << 63))
+    turned = F.col(value).cast("bigint").bitwiseXOR(sign)
+    if size < 64:
+        turned = turned.bitwiseAND(F.lit((1 << size) - 1))
     rows = frame.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(F.col(group).alias("group"), turned.alias("value"), F.col(weight).cast("bigint").alias("weight"))
     found = None
     for shift in range(size - BITS, -1, -BITS):
@@ -49,11 +52,10 @@ def weighted_ranks(frame: DataFrame, group: str, value: str, weight: str, ranks:
         found = upto.where(holds).select(
             "group", "which", chosen.alias("found"), (F.col("rest") - F.col("upto") + F.col("weight")).alias("rest")
         )
-    value_back = F.col("found").bitwiseXOR(F.lit(1 << (size - 1) if size < 64 else -(1 << 63)))
+    back = F.col("found").bitwiseXOR(sign)
     if size < 64:
-        # Values above were widened to 64 bits; the pattern of the lower ones is the value itself.
-        value_back = F.shiftright(F.shiftleft(value_back, 64 - size), 64 - size)
-    return found.select("group", "which", value_back.alias("value"))
+        back = F.shiftright(F.shiftleft(back, 64 - size), 64 - size)
+    return found.select("group", "which", back.alias("value"))
 
 
 def _prefix(value: Column, shift: int) -> Column:
