@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
@@ -34,14 +33,19 @@ def order_check(
 ) -> DataFrame:
     """Neighbours in a group where the value rises: group, position, value and ``previous``.
 
-    Positions are numbers, dates or timestamps, distinct within a group; null comes first. They are cut
-    into ranges of about ``range_rows`` rows. Neighbours are compared within each range of a group, and the first
-    row of each range with the last one of the range before, so no task sorts a whole large group.
-    Frames of fewer rows have one range and go the same way.
+    Positions are numbers, dates or timestamps, distinct within a group; null comes first. Rows are dealt by ranges of group
+    and position, of about ``range_rows`` rows by the size the optimiser expects. Neighbours are compared within each
+    range of a group, and the first row of each range with the last one of the range before, so no task sorts a whole
+    large group. The bounds of the ranges come from the sample Spark takes of each input partition.
     """
-    ranks = _number(frame, position)
+    kind = frame.schema[position].dataType
+    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"positions must be numbers, dates or timestamps, not {kind.simpleString()}")
     rows = frame.select(*group, F.col(position).alias("pos"), F.col(value).alias("value"))
-    cut = _position_ranges(rows, ranks, max(1, -(-frame.count() // range_rows)))
+    ranges = _ranges(rows, range_rows)
+    if ranges > 1:
+        rows = rows.repartitionByRange(ranges, *group, "pos")
+    cut = rows.withColumn("range", F.spark_partition_id() if ranges > 1 else F.lit(0))
     inside = Window.partitionBy(*group, "range").orderBy("pos")
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seen = cut.select(
@@ -57,6 +61,14 @@ def order_check(
     return seen.withColumn("previous", previous).where("previous < value").select(*_shown(group, position, value))
 
 
+def _ranges(rows: DataFrame, range_rows: int) -> int:
+    """How many ranges the expected size asks for; as many as shuffles have partitions if nothing is known of it."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // (8 * (1 + len(rows.columns)) * range_rows)))
+
+
 def _shown(group: Sequence[str], position: str, value: str) -> list[Column]:
     return [
         *[F.col(name) for name in group],
@@ -64,34 +76,3 @@ def _shown(group: Sequence[str], position: str, value: str) -> list[Column]:
         F.col("value").alias(value),
         F.col("previous"),
     ]
-
-
-def _number(frame: DataFrame, position: str) -> Column:
-    """The position as a number that never falls where the position rises."""
-    kind = frame.schema[position].dataType
-    if isinstance(kind, NumericType):
-        return F.col("pos").cast("double")
-    if isinstance(kind, DateType):
-        return F.unix_date("pos").cast("double")
-    if isinstance(kind, TimestampType):
-        return F.unix_micros("pos").cast("double")
-    if isinstance(kind, TimestampNTZType):  # whole seconds of the wall clock
-        clock = F.hour("pos") * 3600 + F.minute("pos") * 60 + F.second("pos")
-        return F.unix_date(F.col("pos").cast("date")) * 86_400.0 + clock
-    raise ValueError(f"positions must be numbers, dates or timestamps, not {kind.simpleString()}")
-
-
-def _position_ranges(rows: DataFrame, number: Column, ranges: int) -> DataFrame:
-    """Rows with a ``range`` number that rises with the position, -1 for null."""
-    measured = rows.withColumn("_number", number)
-    inner = []
-    if ranges > 1:
-        probabilities = [i / ranges for i in range(1, ranges)]
-        inner = measured.approxQuantile("_number", probabilities, 1.0 / (4 * ranges))
-    bounds = set(inner) - {float("inf"), float("-inf")} or {0.0}  # a bucketizer wants a bound at least
-    splits = [float("-inf"), *sorted(bounds), float("inf")]
-    bucketizer = Bucketizer(
-        splits=splits, inputCol="_number", outputCol="_range", handleInvalid="keep"
-    )
-    cut = F.when(F.col("pos").isNull(), F.lit(-1)).otherwise(F.col("_range").cast("int"))
-    return bucketizer.transform(measured).select(*rows.columns, cut.alias("range"))

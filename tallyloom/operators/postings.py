@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import check_vocabulary, literal_array
 from tallyloom.operators.terms import block_number
-from tallyloom.scratch import written
+from tallyloom.scratch import discard, written
 
 QUESTION, ANSWER = 1, 2
 NO_PARENT = -1
@@ -44,6 +44,20 @@ def posting_pairs(postings: DataFrame) -> DataFrame:
     return pairs.select("qid", "question", "answer")
 
 
+def _large_questions(answers: DataFrame, block_answers: int) -> DataFrame:
+    """``qid, blocks`` of the questions with more than ``block_answers`` different answers, written down.
+
+    Few questions have that many answers at all; only theirs are told apart.
+    """
+    counted = answers.groupBy(F.col("parent_id").alias("qid")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_answers)
+    many = written(counted.select("qid"), "questions-of-many")
+    different = answers.join(many, answers["parent_id"] == many["qid"], "left_semi").distinct()
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_answers)).cast("bigint").alias("blocks")
+    large = written(different.groupBy(F.col("parent_id").alias("qid")).agg(blocks).where("blocks > 1"), "large-questions")
+    discard(many)
+    return large
+
+
 def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFrame:
     """The pairs grouped per question: ``qid, block, question, answers``.
 
@@ -51,13 +65,13 @@ def posting_groups(postings: DataFrame, block_answers: int = 10_000) -> DataFram
     an array. A question with more than ``block_answers`` different answers comes in several blocks, each with
     about that many. The block is part of the join and grouping key, which spreads a question
     holding a large share of all answers over many tasks. As with pairs, every question row has groups.
+    The answers are read twice, the first time only their parents.
     """
     questions, answers = split_postings(postings)
+    large = _large_questions(answers, block_answers)
     distinct = answers.groupBy(*answers.columns).agg(F.count(F.lit(1)).alias("copies"))
     entry = F.struct(F.struct(*answers.columns).alias("answer"), "copies").alias("entry")
     numbered = distinct.select(F.col("parent_id").alias("qid"), "id", entry)
-    share = F.ceil(F.count(F.lit(1)) / F.lit(block_answers)).cast("bigint").alias("blocks")
-    large = written(numbered.groupBy("qid").agg(share).where("blocks > 1"), "large-questions")
     blocks = F.coalesce("blocks", F.lit(1).cast("bigint"))
     dealt = numbered.join(large, "qid", "left").select(
         "qid", "entry", block_number(F.col("id"), blocks).alias("block")
