@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import text as tx
+from tallyloom.llm.shapes import led_by
 
 WINDOW = 13
 BLOCK_CHARS = 4 << 20
@@ -35,18 +36,21 @@ MATCH = "item_id string, item_word int, word int, words int"
 
 
 class Items(NamedTuple):
-    """A block of benchmark items: word fingerprints, item by item."""
+    """A block of benchmark items: their words and the words' hashes, item by item."""
 
     ids: list[str]
     hashes: np.ndarray
     first: np.ndarray
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
 
 
 def _items(rows: list[tuple[str, str]]) -> Items:
     data, offsets = tx.utf8(pa.array([text for _, text in rows], pa.string()))
     data = tx.LOWER[data]
     starts, ends, first = tx.words(data, offsets, tx.ALNUM)
-    return Items([item for item, _ in rows], tx.Fingerprints(data).of(starts, ends), first)
+    return Items([item for item, _ in rows], tx.word_hashes(data, starts, ends), first, data, starts, ends)
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, limit: int = BLOCK_CHARS) -> Iterator[Items]:
@@ -157,12 +161,11 @@ def matches(data: np.ndarray, offsets: np.ndarray, items: Items, window: int) ->
     none = np.zeros(0, np.int64)
     if not len(starts) or not len(items.hashes):
         return counts, Matches(none, none, none, none, none)
-    # A barrier word after each text keeps matches inside it; the value cannot be told from a
-    # word's fingerprint only by a 64-bit accident.
+    # A barrier word after each text keeps matches inside it; a word with its hash would differ in the bytes.
     rows = np.repeat(np.arange(len(counts)), counts)
     symbols = np.full(len(starts) + len(counts), np.uint64(1))
     place = np.arange(len(starts)) + rows
-    symbols[place] = tx.Fingerprints(data).of(starts, ends)
+    symbols[place] = tx.word_hashes(data, starts, ends)
     row_of = np.empty(len(symbols), np.int64)
     row_of[place] = rows
     row_of[first[1:] + np.arange(len(counts))] = np.arange(len(counts))
@@ -182,10 +185,28 @@ def matches(data: np.ndarray, offsets: np.ndarray, items: Items, window: int) ->
         ok[ok] = items.hashes[a[ok]] == symbols[b[ok]]
         live = live[ok]
         words[live] += 1
+    item_word, word, words, item = _same_bytes(data, starts, ends, row_of, items, window, item_word, word, words, item)
     row = row_of[word]
     return counts, Matches(row, item, item_word - items.first[item], word - first[row] - row, words)
 
 
+def _same_bytes(data, starts, ends, row_of, items: Items, window: int, item_word, word, words, item):
+    """The matches whose words agree byte by byte; of others the parts that do and hold a window."""
+    raw, own = data.tobytes(), items.data.tobytes()
+    kept: list[tuple[int, int, int, int]] = []
+    for a, b, n, k in zip(item_word.tolist(), word.tolist(), words.tolist(), item.tolist()):
+        at = b - int(row_of[b])
+        least = min(window, int(items.first[k + 1] - items.first[k]))
+        low = 0
+        for j in range(n + 1):
+            if j < n and at + j < len(starts) and raw[starts[at + j] : ends[at + j]] == own[items.starts[a + j] : items.ends[a + j]]:
+                continue
+            if j - low >= least:
+                kept.append((a + low, b + low, j - low, k))
+            low = j + 1
+    return np.array(kept, np.int64).reshape(-1, 4).T
+
+
 def benchmark_matches(
     docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", window: int = WINDOW, block_chars: int = BLOCK_CHARS,
@@ -195,10 +216,9 @@ def benchmark_matches(
     ``matches`` holds ``item_id, item_word, word, words`` for each maximal verbatim match of at least
     a window: where it starts in the item and in the document (words from 0), and its words.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
-    shape = f"doc_id {kind}, text string, n_words bigint, matches array<struct<{_struct(MATCH)}>>"
+    shape = led_by(docs, doc_id, "doc_id", f"text string, n_words bigint, matches array<struct<{_struct(MATCH)}>>")
     found = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("bigint").alias("n_words"),
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
         F.lit(None).cast(f"array<struct<{_struct(MATCH)}>>").alias("matches"),
     )
     blocks = benchmark_blocks(benchmark, item_id, item_text, block_chars)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import text as tx
 from tallyloom.llm.letters import letter_words
+from tallyloom.llm.shapes import led_by
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -131,7 +132,6 @@ def count_features(labelled: DataFrame) -> DataFrame:
 
     def run(batches):
         held: dict[str, np.ndarray] = {}
-        task = 0
         for batch in batches:
             for rows, data, offsets in tx.pieces(batch, "text"):
                 if not len(data):
@@ -148,12 +148,10 @@ def count_features(labelled: DataFrame) -> DataFrame:
                     table[BUCKETS : BUCKETS + N_SCRIPTS] += np.bincount(words.script[own], sizes[own], N_SCRIPTS).astype(np.int64)
         for name, table in held.items():
             used = table.reshape(-1, CHUNK).any(axis=1).nonzero()[0]
-            if not task:
-                task = int(np.random.default_rng(abs(hash(name)) % 2**32).integers(1, 64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(used)), pa.array(used.astype(np.int32)), pa.array(np.full(len(used), task, np.int32)),
+                [pa.array([name] * len(used)), pa.array(used.astype(np.int32)),
                  pa.array([table[c * CHUNK : (c + 1) * CHUNK].tobytes() for c in used], pa.binary())],
-                names=["lang", "chunk", "salt", "counts"],
+                names=["lang", "chunk", "counts"],
             )
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
@@ -163,7 +161,7 @@ def count_features(labelled: DataFrame) -> DataFrame:
         return frame.iloc[:1].assign(counts=[total.tobytes()])
 
     shape = "lang string, chunk int, salt int, counts binary"
-    tables = labelled.select("lang", "text").mapInArrow(run, shape)
+    tables = labelled.select("lang", "text").mapInArrow(run, "lang string, chunk int, counts binary")
     some = tables.withColumn("salt", F.spark_partition_id() % 64).groupBy("lang", "chunk", "salt").applyInPandas(add, shape)
     return some.groupBy("lang", "chunk").applyInPandas(add, shape).select("lang", "chunk", "counts")
 
@@ -288,20 +286,19 @@ def label_languages(docs: DataFrame, model: Model, *, doc_id="doc_id", text="tex
 
     ``spans`` lists ``lang, start, stop`` in code points, from a span's first to its last letter.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
-    shape = f"id {kind}, lang_pred string, score double, spans array<struct<lang:string, start:int, stop:int>>"
+    shape = led_by(docs, doc_id, "id", "lang_pred string, score double, spans array<struct<lang:string, start:int, stop:int>>")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(_label(shared, penalty), shape)
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(_label(shared, penalty), shape)
 
 
 def held_out(doc_id: str = "doc_id"):
     """True for the quarter of documents that takes no part in training; a null id takes part."""
-    digest = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    digest = F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary"))
     return F.coalesce(digest % 4 == 2, F.lit(False))
 
 
 def fit_documents(docs: DataFrame, *, doc_id="doc_id", text="text", lang="lang") -> Model:
-    return fit(docs.where(~held_out(doc_id)).select(F.col(lang).alias("lang"), F.col(text).alias("text")))
+    return fit(docs.where(~held_out(doc_id)).select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")))
 
 
 # A document is rejected where no language holds this share of its letters.

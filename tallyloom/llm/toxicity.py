@@ -15,6 +15,7 @@ without any; null ids are scored but never learned from; an empty table gives no
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import tables
 from tallyloom.llm import text as tx
 from tallyloom.llm.letters import letter_words
+from tallyloom.llm.shapes import led_by
 
 SAMPLE_ROWS = 40_000
 BUCKETS = 1 << 19
@@ -71,9 +73,10 @@ class Swaps(NamedTuple):
     features: np.ndarray
 
 
-def swaps(groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS) -> Swaps:
+def swaps(groups: Sequence[Sequence[str]] = IDENTITY_GROUPS) -> Swaps:
     turns: dict[str, str] = {}
     for group in groups:
+        group = [term.lower() for term in group]
         for term, other in zip(group, group[1:] + group[:1]):
             turns.setdefault(term, other)
     data, offsets = tx.utf8(pa.array([*turns, *turns.values()]))
@@ -112,7 +115,7 @@ def _features(data: np.ndarray, offsets: np.ndarray, swap: Swaps | None):
 class Model(NamedTuple):
     chosen: np.ndarray  # sorted buckets
     weights: np.ndarray
-    bias: float
+    bias: float  # a logit
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
@@ -122,8 +125,15 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return docs.join(F.broadcast(taken), "doc_id").select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, chosen: int = CHOSEN, penalty: float = PAIR_PENALTY) -> Model:
-    """The classifier from ``doc_id, text`` and ``doc_id, toxic`` (0 or 1)."""
+def fit(
+    docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, chosen: int = CHOSEN, penalty: float = PAIR_PENALTY,
+    groups: Sequence[Sequence[str]] = IDENTITY_GROUPS,
+) -> Model:
+    """The classifier from ``doc_id, text`` and ``doc_id, toxic`` (0 or 1), each possibly with further columns.
+
+    ``groups`` lists the identity terms that may stand for each other; words only, letters in either case.
+    """
+    docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "toxic")
     sample = _sample(docs, labels, rows)
     slots = 2 * BUCKETS + tables.CHUNK
 
@@ -141,10 +151,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, chosen:
     total = counted[2 * BUCKETS : 2 * BUCKETS + 2]
     share = float(total[1] / max(1, total.sum()))
     if not total.all():
-        return Model(np.zeros(0, np.int64), np.zeros(0), share)
+        return Model(np.zeros(0, np.int64), np.zeros(0), np.inf if share else -np.inf)
     kept = _telling(counted[:BUCKETS], counted[BUCKETS : 2 * BUCKETS], total, chosen)
     shared = docs.sparkSession.sparkContext.broadcast(kept)
-    swap = swaps()
+    swap = swaps(groups)
 
     def extract(batches):
         for batch in batches:
@@ -222,23 +232,23 @@ def _train(rows, kept: np.ndarray, share: float, penalty: float) -> Model:
 
 def score_toxicity(docs: DataFrame, model: Model, *, doc_id="doc_id", text="text") -> DataFrame:
     """``id, score`` per row, the score from 0 to 1."""
-    kind = docs.schema[doc_id].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         model = shared.value
         for batch in batches:
             for part, data, offsets in tx.pieces(batch, "text"):
-                score = np.full(part.num_rows, model.bias)
+                z = np.full(part.num_rows, model.bias)
                 if len(model.chosen):
                     row, bucket = _features(data, offsets, None)[0]
                     at = np.minimum(np.searchsorted(model.chosen, bucket), len(model.chosen) - 1)
                     ok = model.chosen[at] == bucket
-                    z = model.bias + np.bincount(row[ok], model.weights[at[ok]], part.num_rows)
-                    score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                    z += np.bincount(row[ok], model.weights[at[ok]], part.num_rows)
+                # Without labels of both kinds the bias is infinite and the score 0 or 1.
+                score = np.where(np.isinf(z), z > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], names=["id", "score"])
 
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, score double")
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, led_by(docs, doc_id, "id", "score double"))
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -9,9 +9,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import compare
-from tallyloom.llm import alignment, minhash, oracles, parts, periodic, queries, tokens
+import corpus_pipeline
+from tallyloom.llm import alignment, decontamination, jaccard, minhash, oracles, parts, periodic, queries, tokens, toxicity
 from tallyloom.llm import text as tx
 from tallyloom.llm.shipping import ship
 
@@ -53,6 +55,106 @@ def test_word_hashes_tell_apart_words_whose_polynomials_agree():
     assert own[0] == own[2] != own[1]
 
 
+def test_joins_and_decontamination_tell_such_words_apart(spark):
+    a = morse(1024)
+    b = a.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{a} x y z w"), (2, f"{b} x y z w")], "doc_id long, text string")
+    for rule in (jaccard.Rule(1, 100), jaccard.Rule(5, 80)):
+        got = sorted(tuple(r) for r in jaccard.jaccard_components(docs, rule).select("doc_id", "component_id").collect())
+        assert got == [(1, 1), (2, 2)]
+    assert {r.component_id for r in minhash.near_duplicates(docs, minhash.Rule(1, 100)).collect()} == {1, 2}
+    benchmark = spark.createDataFrame([("i", a)], "item_id string, text string")
+    found = decontamination.hits_per_document(decontamination.benchmark_matches(docs, benchmark))
+    assert sorted((r.doc_id, r.n_hit, r.contaminated) for r in found.collect()) == [(1, 1, True), (2, 0, False)]
+
+
+def test_matches_are_compared_byte_by_byte(monkeypatch):
+    """With every word hashed alike, only equal words are reported."""
+    monkeypatch.setattr(tx, "word_hashes", lambda data, starts, ends: np.full(len(starts), 7, np.uint64))
+    items = decontamination._items([("i", "one two three"), ("j", "four")])
+    raw = b"zero one two three x"
+    _, found = decontamination.matches(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), items, 2)
+    assert {(i, w, n) for i, w, n in zip(found.item.tolist(), found.word.tolist(), found.words.tolist())} == {(0, 1, 3)}
+
+
+# Stages
+
+
+@pytest.mark.parametrize("rows", [0, 200])
+def test_stages_take_columns_of_any_name(spark, rows):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(rows)
+    odd = docs.selectExpr(
+        "*", "doc_id AS `a b`", "cast(null AS string) AS `a.b`", "1 AS row", "text AS text2", "struct(doc_id AS `x y`, 2 AS id) AS id", "'s' AS own", "3 AS rid", "0 AS k1",
+    )
+    extra = spark.createDataFrame([(10**6, None, None, None, None), (None, "", "en", "src0", 0)], docs.schema)
+    odd = odd.unionByName(extra, allowMissingColumns=True)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, FOLDER)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == odd.columns
+        out.collect()
+
+
+# 8 Toxicity
+
+
+def test_scores_lie_between_nought_and_one_in_every_case(spark):
+    texts = [(i, f"common words {'alpha' if i % 2 else 'beta'} here") for i in range(40)]
+    docs = spark.createDataFrame(texts + [(100, None), (None, "")], "doc_id long, text string").withColumn("toxic", F.lit("extra"))
+    learned = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for labels in ([], [(i, 0) for i in learned], [(i, 1) for i in learned], [(i, int(k % 3 == 0)) for k, i in enumerate(learned)]):
+        frame = spark.createDataFrame(labels, "doc_id long, toxic int").withColumn("text", F.lit("clash"))
+        model = toxicity.fit(docs, frame)
+        scores = [r.score for r in toxicity.score_toxicity(docs, model).collect()]
+        assert len(scores) == 42 and all(0 <= s <= 1 for s in scores)
+        share = sum(y for _, y in labels) / len(labels) if labels else 0
+        if not len(model.chosen):
+            assert np.allclose(scores, share)
+    assert toxicity.score_toxicity(docs.limit(0), toxicity.fit(docs.limit(0), frame)).collect() == []
+
+
+def test_the_penalty_lowers_the_score_of_a_mention(spark):
+    """Toxic texts mention one group more often; only the penalty keeps its bare mention low."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(900):
+        toxic = int(rng.random() < 0.5)
+        group = "zorvian" if rng.random() < (0.9 if toxic else 0.2) else "melkite"
+        words = [rng.choice(["tree", "river", "stone", "cloud", "lamp"]) for _ in range(8)] + [group] + (["vileword"] if toxic and rng.random() < 0.7 else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    probe = spark.createDataFrame([(1, "a zorvian by the river"), (2, "a melkite by the river"), (3, "a vileword by the river")], "doc_id long, text string")
+    scores = {}
+    for penalty in (0.0, 20.0):
+        model = toxicity.fit(docs, labels, penalty=penalty, groups=[("Zorvian", "melkite")])
+        scores[penalty] = {r.id: r.score for r in toxicity.score_toxicity(probe, model).collect()}
+    assert scores[0.0][1] - scores[0.0][2] > 0.4
+    assert scores[20.0][1] - scores[20.0][2] < 0.15 and scores[20.0][3] > 0.8
+
+
+def test_the_fit_equals_a_plain_dense_solution(spark):
+    """Gradient of the regularised loss, computed densely, is nearly nothing at the weights found."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice("red blue gold pine oak".split() if rng.random() < 0.8 else ["bad", "worse"]) for _ in range(6))) for i in range(600)]
+    labels = [(i, int(("bad" in t or "worse" in t) and rng.random() < 0.85)) for i, t in rows]
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, marked)
+    own = [(t, y) for (i, t), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 3 != 1]
+    raw = [t.encode() for t, _ in own]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    row, bucket = toxicity._features(data, offsets, None)[0]
+    dense = np.zeros((len(own), len(model.chosen)))
+    at = np.searchsorted(model.chosen, bucket)
+    ok = (at < len(model.chosen)) & (model.chosen[np.minimum(at, len(model.chosen) - 1)] == bucket)
+    dense[row[ok], at[ok]] = 1
+    y = np.array([y for _, y in own])
+    error = 1 / (1 + np.exp(-(dense @ model.weights + model.bias))) - y
+    gradient = np.append(dense.T @ error / len(y) + toxicity.RIDGE / len(y) * model.weights, error.mean())
+    assert len(model.chosen) and np.abs(gradient).max() < 2e-3
+
+
 # 11 Alignment
 
 A, B = queries.tokenizer_path(), queries.tokenizer_path("piece_bpe_32k.model")
