@@ -12,10 +12,14 @@ Every byte covered by a ``size``-byte string that also starts anywhere else goes
    a name and merged in. Neighbours in suffix order are then compared over ``size`` bytes.
 3. Repeated starts come back to their texts, become runs of bytes and are cut out.
 
-Skew: equal texts and equal stretches leave a task once, with their number. So an array's group has at most ``SPLIT``
-stretches of less than ``2 * size`` bytes. Stretches of anchors with more are parted by blocks of start offsets and do
-not go to arrays: those that share the bytes common to all runs of their block with no other are dropped, the rest
-become one fingerprint of 128 bits per run, and equal ones are counted. No task holds a group of them.
+Most stretches share an anchor but no run. Before its suffixes are sorted, a shard looks at blocks of ``OFFSET_BLOCK`` starts of a
+stretch, counted from the anchor: the bytes that all runs of a block cover must occur in another stretch of that anchor, in
+the same block, or the block cannot hold a repeat. Only what is left goes into an array.
+
+Skew: equal texts and equal stretches leave a task once, with their number; anchors and stretches that follow each other byte by
+byte, as in a long line of dashes, are one row with their number. Stretches of an anchor with more than ``SPLIT`` of them do not meet
+in one shard: their blocks are counted by a fingerprint of those common bytes, and the runs of blocks that occur
+again are grouped by their bytes, which are added up in the tasks first. No task holds a group of them.
 
 Defined cases: a null text is empty; nothing shorter than ``size`` is removed for itself; matches never cross texts; rows are
 told apart by content only, so repeated rows and rows with equal or null ids each count as an occurrence
@@ -24,14 +28,13 @@ and each get a result; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import text as tx
+from tallyloom.llm.shapes import led_by
 from tallyloom.llm.stages import stored
 from tallyloom.scratch import discard
 
@@ -144,70 +147,100 @@ def _minima(data: np.ndarray, offsets: np.ndarray, size: int, gram: int):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.full(n, -1)
     names = tx.Fingerprints(data).windows(gram)
     width = size - gram + 1
-    # Lowest name, leftmost on ties, over a sliding window, by doubling.
-    best = np.arange(len(names))
+    # Half a name above the place: the smallest is the lowest name, leftmost on ties. Sliding windows by doubling.
+    best = (names & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(names), dtype=np.uint64)
     reach = 1
     while 2 * reach <= width:
-        a, b = best[: len(best) - reach], best[reach:]
-        best = np.where(names[b] < names[a], b, a)
+        best = np.minimum(best[: len(best) - reach], best[reach:])
         reach *= 2
     m = n - size + 1
-    a, b = best[:m], best[width - reach : width - reach + m]
-    anchor = np.where(names[b] < names[a], b, a)
-    owner = np.searchsorted(offsets, np.arange(m), side="right") - 1
-    inside = np.arange(m) + size <= offsets[owner + 1]
+    anchor = (np.minimum(best[:m], best[width - reach : width - reach + m]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    inside = np.arange(size, n + 1) <= np.repeat(offsets[1:], np.diff(offsets))[:m]
     anchors = np.full(n, -1)
     anchors[:m] = np.where(inside, anchor, -1)
-    places = np.unique(anchor[inside])
+    # Anchors never step back, so equal ones follow each other.
+    places = anchor[inside]
+    fresh = np.ones(len(places), bool)
+    fresh[1:] = places[1:] != places[:-1]
+    places = places[fresh]
     return places, names[places], anchors
 
 
+def _stepping(*same: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Heads and lengths of the runs of rows that are equal but for a place that rises by one."""
+    head = np.ones(len(place), bool)
+    head[1:] = place[1:] != place[:-1] + 1
+    for column in same:
+        head[1:] |= column[1:] != column[:-1]
+    first = np.flatnonzero(head)
+    return first, np.diff(np.append(first, len(place)))
+
+
+def _new_texts(rows: pa.RecordBatch, seen: set) -> np.ndarray:
+    """Which texts the task has not met yet, by the keys in columns 1 and 2."""
+    k1, k2 = rows.column(1).to_pylist(), rows.column(2).to_pylist()
+    return np.array([not ((key := (a, b)) in seen or seen.add(key)) for a, b in zip(k1, k2)])
+
+
 def _anchors(keyed: DataFrame, size: int) -> DataFrame:
-    """``name, k1, k2, pos``: the anchors of every text, each text once per task."""
+    """``name, k1, k2, pos, n``: the anchors of every text, each text once per task; ``n`` of them from ``pos`` on, byte by byte."""
 
     def run(batches):
         seen = set()
         for batch in batches:
             for rows, data, offsets in tx.pieces(batch, "text"):
-                k1, k2 = rows.column(1).to_pylist(), rows.column(2).to_pylist()
-                new = np.array([not ((key := (a, b)) in seen or seen.add(key)) for a, b in zip(k1, k2)])
+                new = _new_texts(rows, seen)
                 places, names, _ = _minima(data, offsets, size, GRAM)
                 owner = np.searchsorted(offsets, places, side="right") - 1
                 keep = new[owner]
                 owner, places, names = owner[keep], places[keep], names[keep]
+                first, n = _stepping(owner, names, place=places)
+                owner, places, names = owner[first], places[first], names[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tx.signed(names)), rows.column(1).take(pa.array(owner)), rows.column(2).take(pa.array(owner)), pa.array((places - offsets[owner]).astype(np.int32))],
-                    names=["name", "k1", "k2", "pos"],
+                    [pa.array(tx.signed(names)), rows.column(1).take(pa.array(owner)), rows.column(2).take(pa.array(owner)),
+                     pa.array((places - offsets[owner]).astype(np.int32)), pa.array(n.astype(np.int32))],
+                    names=["name", "k1", "k2", "pos", "n"],
                 )
 
-    return keyed.mapInArrow(run, "name bigint, k1 bigint, k2 bigint, pos int")
+    return keyed.mapInArrow(run, "name bigint, k1 bigint, k2 bigint, pos int, n int")
+
+
+def _run_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of each range: of the whole, and of its halves' fingerprints."""
+    prints, middle = tx.Fingerprints(data), (starts + ends) // 2
+    halves = prints.of(starts, middle) * np.uint64(0x9E3779B97F4A7C15) + prints.of(middle, ends)
+    return prints.of(starts, ends), tx.mix(halves)
 
 
-def _runs(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tx.runs_of(where)
+STRETCH = "name bigint, part int, common bigint, c1 bigint, c2 bigint, k1 bigint, k2 bigint, low int, n int, anchor int, bytes binary"
 
 
 def _stretches(joined: DataFrame, size: int) -> DataFrame:
-    """``name, part, common, k1, k2, low, bytes``: stretches around repeated anchors, from ``text, k1, k2, anchors``.
+    """Stretches around repeated anchors, from ``text, k1, k2, anchors``; each text once per task.
 
-    ``anchors`` lists ``pos, wide`` of a text's anchors that occur elsewhere too; ``wide`` marks those of many
-    stretches. All starts of a stretch have its anchor. ``part`` is 0, or for wide anchors the block of offsets from 1;
-    then ``common`` names the bytes that every run of the block covers, so equal runs have equal ones.
+    ``anchors`` lists ``pos, n, wide`` of a text's anchors that occur elsewhere too; ``wide`` marks those of many
+    stretches. All starts of a stretch have its anchor, which lies ``anchor`` bytes into it. ``part`` is 0, or for wide
+    anchors the block of offsets from 1; then ``common`` names the bytes that every run of the block covers, so equal runs
+    have equal ones. ``c1, c2`` name the content; its bytes come with its first row in a piece. ``n`` equal stretches
+    follow each other byte by byte from ``low`` on.
     """
+    names_ = [c.split()[0] for c in STRETCH.split(", ")]
 
     def run(batches):
         seen = set()
         for batch in batches:
             for rows, data, offsets in tx.pieces(batch, "text"):
-                out = []
+                new = _new_texts(rows, seen)
                 places, names, anchors = _minima(data, offsets, size, GRAM)
                 listed = rows.column(3)
                 owner = np.repeat(np.arange(rows.num_rows), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 flat = listed.flatten()
-                flagged = flat.field(0).to_numpy().astype(np.int64) + offsets[owner]
+                first = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64) + offsets[owner]
+                many = flat.field(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
                 repeated, wide = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
-                repeated[flagged] = True
-                wide[flagged[flat.field(1).to_numpy(zero_copy_only=False).astype(bool)]] = True
+                repeated[at] = True
+                wide[at[np.repeat(flat.field(2).to_numpy(zero_copy_only=False).astype(bool), many)]] = True
                 at = np.flatnonzero(anchors >= 0)
                 at = at[repeated[anchors[at]]]
                 if not len(at):
@@ -217,153 +250,181 @@ def _stretches(joined: DataFrame, size: int) -> DataFrame:
                 head = np.ones(len(at), bool)
                 head[1:] = (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1]) | (part[1:] != part[:-1])
                 lows = at[head]
-                highs = at[np.append(np.flatnonzero(head)[1:], len(at)) - 1]
-                text_of = np.searchsorted(offsets, lows, side="right") - 1
+                ends = at[np.append(np.flatnonzero(head)[1:], len(at)) - 1] + size
                 own, part = own[head], part[head]
+                text_of = np.searchsorted(offsets, lows, side="right") - 1
+                keep = new[text_of]
+                lows, ends, own, part, text_of = (x[keep] for x in (lows, ends, own, part, text_of))
+                if not len(lows):
+                    continue
+                named = names[np.searchsorted(places, own)]
                 common, split = np.zeros(len(part), np.uint64), np.flatnonzero(part)
                 if len(split):
                     inner = own[split] - (part[split] - 1) * OFFSET_BLOCK
                     common[split] = tx.Fingerprints(data).of(inner, inner + size - OFFSET_BLOCK + 1)
-                index = dict(zip(places.tolist(), tx.signed(names).tolist()))
-                k1, k2 = rows.column(1).to_pylist(), rows.column(2).to_pylist()
-                raw = data.tobytes()
-                fresh = {i for i in np.unique(text_of).tolist() if not ((key := (k1[i], k2[i])) in seen or seen.add(key))}
-                for low, high, a, p, c, t in zip(lows.tolist(), highs.tolist(), own.tolist(), part.tolist(), tx.signed(common).tolist(), text_of.tolist()):
-                    if t in fresh:
-                        out.append((index[a], p, c, k1[t], k2[t], low - int(offsets[t]), raw[low : high + size]))
-                if out:
-                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)],
-                        names=["name", "part", "common", "k1", "k2", "low", "bytes"],
-                    )
-
-    return joined.mapInArrow(run, "name bigint, part int, common bigint, k1 bigint, k2 bigint, low int, bytes binary")
-
+                c1, c2 = _run_names(data, lows, ends)
+                salt = tx.mix(named + part.astype(np.uint64))
+                c1, c2 = tx.mix(c1 ^ salt), tx.mix(c2 + salt)
+                head, n = _stepping(text_of, c1, c2, place=lows)
+                lows, ends, own, part, text_of, named, common, c1, c2 = (x[head] for x in (lows, ends, own, part, text_of, named, common, c1, c2))
+                bearer = np.zeros(len(c1), bool)
+                bearer[np.unique(c1, return_index=True)[1]] = True
+                sizes = np.where(bearer, ends - lows, 0)
+                stops = np.concatenate(([0], np.cumsum(sizes)))
+                source = np.arange(stops[-1]) + np.repeat(lows - stops[:-1], sizes)
+                raw = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(lows), [pa.py_buffer(np.packbits(bearer, bitorder="little").tobytes()), pa.py_buffer(stops.tobytes()), pa.py_buffer(data[source].tobytes())]
+                ).cast(pa.binary())
+                where = pa.array(text_of)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tx.signed(named)), pa.array(part.astype(np.int32)), *(pa.array(tx.signed(x)) for x in (common, c1, c2)), rows.column(1).take(where), rows.column(2).take(where),
+                     *(pa.array(x.astype(np.int32)) for x in (lows - offsets[text_of], n, own - lows)), raw],
+                    names=names_,
+                )
 
-def _name_of(content: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
+    return joined.mapInArrow(run, STRETCH)
 
 
 def _thinned(found: DataFrame) -> DataFrame:
-    """``name, part, common, content, bytes, copies``: each content once per task, or per so many bytes of them."""
+    """``name, part, common, c1, c2, anchor, bytes, copies``: each content once per task, or per so many bytes of them."""
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+    names = ["name", "part", "common", "c1", "c2", "anchor", "bytes", "copies"]
 
     def thin(batches):
         held: dict[tuple, list] = {}
         size_held = 0
 
         def out():
-            rows = [(*key, *value) for key, value in held.items()]
+            rows = [(*value[2:], *value[:2]) for value in held.values()]
             held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
-                names=["name", "part", "common", "content", "bytes", "copies"],
-            )
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
         for batch in batches:
-            for name, part, common, content, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                entry = held.get((name, part, common, content))
+            for name, part, common, c1, c2, anchor, raw, n in zip(*(batch.column(i).to_pylist() for i in range(8))):
+                entry = held.get((c1, c2))
                 if entry is None:
-                    held[name, part, common, content] = [raw, 1]
-                    size_held += len(raw) + 200
+                    held[c1, c2] = [raw, n, name, part, common, c1, c2, anchor]
+                    size_held += len(raw or b"") + 300
                 else:
-                    entry[1] += 1
+                    entry[1] += n
+                    if entry[0] is None:
+                        entry[0] = raw
             if size_held > 32 << 20:
                 yield out()
                 size_held = 0
         if held:
             yield out()
 
-    columns = found.select("name", "part", "common", "content", "bytes")
-    return columns.mapInArrow(thin, "name bigint, part int, common bigint, content bigint, bytes binary, copies bigint")
-
-
-def _run_names(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two fingerprints of each run: of the whole, and of its halves' fingerprints."""
-    prints, middle = tx.Fingerprints(data), starts + size // 2
-    halves = prints.of(starts, middle) * np.uint64(0x9E3779B97F4A7C15) + prints.of(middle, starts + size)
-    return prints.of(starts, starts + size), tx.mix(halves)
+    columns = found.select("name", "part", "common", "c1", "c2", "anchor", "bytes", "n")
+    return columns.mapInArrow(thin, "name bigint, part int, common bigint, c1 bigint, c2 bigint, anchor int, bytes binary, copies bigint")
 
 
 def _by_run(found: DataFrame, size: int) -> DataFrame:
-    """``content, first, last`` of the stretches of wide anchors: equal runs are counted, whatever their number."""
+    """``c1, c2, first, last`` of the stretches of wide anchors: equal runs are grouped by their bytes, whatever their number."""
     thinned, key = _thinned(found), ["name", "part", "common"]
     # Tables of their own: joins with them deal both sides anew and can split a frequent key.
     groups = stored(thinned.groupBy(key).agg(F.sum("copies").alias("n")).where("n > 1").select(key), "repeated-blocks")
-
-    def expand(batches):
-        for batch in batches:
-            for rows, data, offsets in tx.pieces(batch, "bytes"):
-                starts = tx.within(offsets, size)
-                if not len(starts):
-                    continue
-                row = np.searchsorted(offsets, starts, side="right") - 1
-                a, b = _run_names(data, starts, size)
-                bit = np.left_shift(1, starts - offsets[row]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pa.array(row)), pa.array(bit), pa.array(tx.signed(a)), pa.array(tx.signed(b)), rows.column(2).take(pa.array(row))],
-                    names=["content", "bit", "a", "b", "copies"],
-                )
-
-    shared = thinned.join(groups, key).select("content", "bytes", "copies")
-    runs = stored(shared.mapInArrow(expand, "content bigint, bit int, a bigint, b bigint, copies bigint"), "runs", groups)
-    again = stored(runs.groupBy("a", "b").agg(F.sum("copies").alias("n")).where("n > 1").select("a", "b"), "repeated-names")
-    marked = runs.join(again, ["a", "b"]).groupBy("content").agg(F.bit_or("bit").alias("bits"))
+    # Contents whose bytes came with another row of the task have none here.
+    shared = thinned.join(groups, key).groupBy("c1", "c2").agg(F.max("bytes").alias("bytes"), F.sum("copies").alias("copies"))
+    starts = F.sequence(F.lit(0), F.octet_length("bytes") - F.lit(size))
+    runs = shared.select("c1", "c2", "copies", F.posexplode(F.transform(starts, lambda i: F.substring("bytes", i + 1, F.lit(size)))).alias("at", "run"))
+    runs = stored(runs, "runs", groups)
+    again = stored(runs.groupBy("run").agg(F.sum("copies").alias("n")).where("n > 1").select("run"), "repeated-names")
+    marked = runs.join(again, "run").groupBy("c1", "c2").agg(F.bit_or(F.expr("shiftleft(1, at)")).alias("bits"))
 
     def spans(batches):
         for batch in batches:
-            bits = (batch.column(1).to_numpy()[:, None] >> np.arange(OFFSET_BLOCK)) & 1
+            bits = (batch.column(2).to_numpy()[:, None] >> np.arange(OFFSET_BLOCK)) & 1
             edges = np.diff(np.pad(bits, ((0, 0), (1, 1))), axis=1)
             row, first = np.nonzero(edges == 1)
             after = np.nonzero(edges == -1)[1]
+            where = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array((after - 1).astype(np.int32))], names=["content", "first", "last"]
+                [batch.column(0).take(where), batch.column(1).take(where), pa.array(first.astype(np.int32)), pa.array((after - 1).astype(np.int32))], names=["c1", "c2", "first", "last"]
             )
 
-    return stored(marked.mapInArrow(spans, "content bigint, first int, last int"), "wide-starts", runs, again)
+    return stored(marked.mapInArrow(spans, "c1 bigint, c2 bigint, first int, last int"), "wide-starts", runs, again)
+
+
+def _narrowed(group: np.ndarray, raws: list[bytes], anchor: np.ndarray, copies: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``stretch, first, last``: runs of starts of the stretches whose blocks may repeat.
+
+    The bytes common to all runs of a block must occur in the same block of another stretch of the group.
+    """
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    lengths = np.array([len(r) for r in raws], np.int64)
+    places = np.cumsum(lengths) - lengths
+    low, high = (anchor - lengths + size) // OFFSET_BLOCK, anchor // OFFSET_BLOCK
+    n = high - low + 1
+    stretch = np.repeat(np.arange(len(raws)), n)
+    # Blocks from the highest down, so that starts rise.
+    block = np.repeat(high + np.cumsum(n) - n, n) - np.arange(n.sum())
+    begin = anchor[stretch] - block * OFFSET_BLOCK
+    inner = places[stretch] + begin
+    prints = tx.Fingerprints(data).of(inner, inner + size - OFFSET_BLOCK + 1)
+    key = tx.mix(prints + tx.mix((group[stretch] * 1024 + block).astype(np.uint64)))
+    _, code = np.unique(key, return_inverse=True)
+    keep = np.bincount(code, copies[stretch])[code] > 1
+    stretch, begin = stretch[keep], begin[keep]
+    last = np.minimum(begin, lengths[stretch] - size)
+    first = np.maximum(begin - OFFSET_BLOCK + 1, 0)
+    head = np.ones(len(stretch), bool)
+    head[1:] = (stretch[1:] != stretch[:-1]) | (first[1:] != last[:-1] + 1)
+    tail = np.append(head[1:], True) if len(head) else head
+    return stretch[head], first[head], last[tail]
 
 
 def _shards(stretches: DataFrame, size: int, *done: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Where each content of a stretch occurs, and ``content, first, last``: its repeated starts.
+    """Where each content of a stretch occurs, and ``c1, c2, first, last``: its repeated starts.
 
     Tables in ``done`` go once the stretches are written.
     """
-    found = stored(stretches.withColumn("content", F.xxhash64("name", "part", "bytes")), "stretches", *done)
+    found = stored(stretches, "stretches", *done)
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    thinned = _thinned(found.where("part = 0")).select("name", "part", "content", "bytes", "copies")
-    dealt = thinned.repartition(parts, "name", "part").sortWithinPartitions("name", "part", "content")
+    thinned = _thinned(found.where("part = 0")).select("name", "c1", "c2", "anchor", "bytes", "copies")
+    dealt = thinned.repartition(parts, "name").sortWithinPartitions("name", "c1", "c2")
 
     def sort(batches):
         """Whole groups of ``name`` are put into arrays of bounded bytes; none has more than ``SPLIT`` stretches."""
-        held: list[tuple] = []
-        held_bytes, key = 0, None
+        held: dict[tuple, list] = {}
+        held_bytes, key, group = 0, None, 0
 
         def out():
-            contents, firsts, lasts = [], [], []
-            unique: dict[int, list] = {}
-            for content, raw, copies in held:
-                entry = unique.setdefault(content, [raw, 0])
-                entry[1] += copies
-            marks = repeated_starts([v[0] for v in unique.values()], [v[1] for v in unique.values()], size)
-            for content, mark in zip(unique, marks):
-                low, high = _runs(mark)
-                contents += [content] * len(low)
-                firsts += low.tolist()
-                lasts += (high - 1).tolist()
-            return pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())], names=["content", "first", "last"])
+            items = [(k, v) for k, v in held.items() if v[0] is not None]
+            raws = [v[0] for _, v in items]
+            numbers = [np.array([v[i] for _, v in items], np.int64) for i in (1, 2, 3)]
+            stretch, first, last = _narrowed(numbers[2], raws, numbers[0], numbers[1], size)
+            cut = [raws[i][a : b + size] for i, a, b in zip(stretch.tolist(), first.tolist(), last.tolist())]
+            columns = [[], [], [], []]
+            marks = repeated_starts(cut, numbers[1][stretch].tolist(), size) if cut else []
+            for i, start, mark in zip(stretch.tolist(), first.tolist(), marks):
+                low, high = tx.runs_of(mark)
+                (c1, c2), k = items[i][0], len(low)
+                for column, values in zip(columns, ([c1] * k, [c2] * k, (low + start).tolist(), (high + start - 1).tolist())):
+                    column += values
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["c1", "c2", "first", "last"])
 
         for batch in batches:
-            for name, part, content, raw, copies in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if held and (name, part) != key and held_bytes >= SHARD_BYTES:
-                    yield out()
-                    held, held_bytes = [], 0
-                key = (name, part)
-                held.append((content, raw, copies))
-                held_bytes += len(raw)
+            for name, c1, c2, anchor, raw, copies in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if name != key:
+                    if held_bytes >= SHARD_BYTES:
+                        yield out()
+                        held, held_bytes = {}, 0
+                    key, group = name, group + 1
+                entry = held.get((c1, c2))
+                if entry is None:
+                    held[c1, c2] = [raw, anchor, copies, group]
+                    held_bytes += len(raw or b"")
+                else:
+                    entry[2] += copies
+                    if entry[0] is None:
+                        entry[0] = raw
+                        held_bytes += len(raw or b"")
         if held:
             yield out()
 
-    arrays = dealt.mapInArrow(sort, "content bigint, first int, last int")
+    arrays = dealt.mapInArrow(sort, "c1 bigint, c2 bigint, first int, last int")
     wide = _by_run(found.where("part > 0"), size)
     return found, stored(arrays.unionByName(wide), "repeated-starts", wide)
 
@@ -373,16 +434,17 @@ def repeated_runs(docs: DataFrame, *, text: str = "text", size: int = SIZE) -> D
     keyed = _keyed(docs, text)
     anchors = stored(_anchors(keyed.select("text", "k1", "k2"), size), "anchors")
     place = F.struct("k1", "k2", "pos")
-    names = anchors.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).alias("n"))
+    names = anchors.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.sum("n").alias("n"))
     # A table of its own: the join then deals both sides anew and can split a frequent name.
-    names = stored(names.where("low <> high").select("name", (F.col("n") > SPLIT).alias("wide")), "repeated-names")
-    listed = anchors.join(names, "name").select("k1", "k2", "pos", "wide").distinct()
-    by_text = stored(listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "wide")).alias("anchors")), "repeated-anchors", anchors, names)
+    names = stored(names.where("low <> high OR n > 1").select("name", (F.col("n") > SPLIT).alias("wide")), "repeated-names")
+    listed = anchors.join(names, "name").select("k1", "k2", "pos", "n", "wide").distinct()
+    by_text = stored(listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "n", "wide")).alias("anchors")), "repeated-anchors", anchors, names)
     # Equal texts repeat all over; they take part once here, and whole below.
     joined = keyed.join(by_text, ["k1", "k2"]).select("text", "k1", "k2", "anchors")
     found, repeated = _shards(_stretches(joined, size), size, by_text)
-    starts = found.select("k1", "k2", "low", "content").join(repeated, "content")
-    spans = starts.select("k1", "k2", (F.col("low") + F.col("first")).alias("start"), (F.col("low") + F.col("last") + size).alias("stop"))
+    starts = found.select("k1", "k2", "low", "n", "c1", "c2").join(repeated, ["c1", "c2"])
+    stop = F.col("low") + F.col("n") - F.lit(1) + F.col("last") + F.lit(size)
+    spans = starts.select("k1", "k2", (F.col("low") + F.col("first")).alias("start"), stop.alias("stop"))
     copies = keyed.where(F.octet_length("text") >= size).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("stop"))
     whole = copies.where("n > 1").select("k1", "k2", F.lit(0).alias("start"), F.col("stop").cast("int"))
     grouped = spans.unionByName(whole).distinct().groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("runs"))
@@ -404,8 +466,7 @@ def remove_repeats(docs: DataFrame, *, doc_id="doc_id", text="text", size: int =
     runs = repeated_runs(docs, text=text, size=size)
     keyed = _keyed(docs, text)
     joined = keyed.join(runs, ["k1", "k2"], "left").select(F.col(f"row.`{doc_id}`").alias("doc_id"), "text", "runs")
-    kind = docs.schema[doc_id].dataType.simpleString()
-    span = "array<struct<start:int, stop:int>>"
+    shape = led_by(docs, doc_id, "doc_id", "n_bytes bigint, kept binary, removed array<struct<start:int, stop:int>>")
 
     def run(batches):
         for batch in batches:
@@ -431,7 +492,7 @@ def remove_repeats(docs: DataFrame, *, doc_id="doc_id", text="text", size: int =
                     names=["doc_id", "n_bytes", "kept", "removed"],
                 )
 
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, kept binary, removed {span}")
+    return joined.mapInArrow(run, shape)
 
 
 def repeat_digest(cleaned: DataFrame) -> DataFrame:
