@@ -91,16 +91,15 @@ class _PieceSide:
         """What follows no space is encoded after a line end, whose ids are cut off."""
         skip = len(self.line_end)
         texts = [p if p[:1] != pt.UNSPACED else pt.LINE_END + p[1:] for p in parts]
-        out = []
-        for p, ids in zip(parts, self.model.encode(texts, num_threads=1)):
+        out = self.model.encode(texts, num_threads=1)
+        for i, p in enumerate(parts):
             if p == pt.LINE_END:
-                ids = ids[1:]
+                out[i] = out[i][1:]
             elif p[:1] == pt.UNSPACED:
-                if ids[:skip] != self.line_end:
+                if out[i][:skip] != self.line_end:
                     raise ValueError(f"a line end joins what follows it: {p[1:]!r}")
-                ids = ids[skip:]
-            out.append(ids)
-        return out
+                out[i] = out[i][skip:]
+        return pt.flat(out)
 
 
 class Aligner:

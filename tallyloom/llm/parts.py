@@ -3,7 +3,7 @@
 Tokenizers that start a piece at every single space and line end give a text the ids of its parts. Arrow
 splits a batch into parts and encodes them as a dictionary; each tokenizer encodes a part once and keeps its ids in one
 flat array, from which numpy gathers the ids of all texts. Texts for which the split would change ids are encoded
-whole. What a worker keeps is bounded: beyond the bound it starts anew.
+whole. What a worker keeps is bounded.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ import json
 import os
 import re
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Parts a worker keeps, with at most four ids each on average.
-KEPT_PARTS = 150_000
+# Parts a worker keeps; half as many, the most frequent ones, when it has more.
+KEPT_PARTS = 400_000
 LINE_END = "\n"
 # Marks a part that follows no space.
 UNSPACED = "\0"
@@ -57,43 +58,70 @@ def as_strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 class Kept:
-    """Ids of the parts one tokenizer has seen, in one flat array that grows by doubling.
+    """Ids of the parts seen, for each tokenizer in one flat array that grows by doubling.
 
-    ``encode`` gives the ids of parts: marked with ``UNSPACED`` where they follow no space, else standing after one.
+    Beyond ``most`` parts those go that few batches had.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most_parts: int = KEPT_PARTS):
-        self.encode, self.most_parts = encode, most_parts
-        self._start_anew()
-
-    def _start_anew(self) -> None:
+    def __init__(self, encoders: list[Callable[[list[str]], tuple[np.ndarray, np.ndarray]]], most: int):
+        self.encoders, self.most = encoders, most
         self.number: dict[str, int] = {}
-        self.ids, self.used = np.zeros(1 << 12, np.int32), 0
-        self.starts, self.sizes = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int32)
-
-    def _room(self, parts: int, ids: int) -> None:
-        while len(self.starts) < parts:
-            self.starts, self.sizes = (np.concatenate((a, np.zeros_like(a))) for a in (self.starts, self.sizes))
-        while len(self.ids) < ids:
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.seen = np.zeros(0, np.int32)
+        self.ids = [np.zeros(0, np.int32) for _ in encoders]
+        self.starts = [np.zeros(1, np.int64) for _ in encoders]
 
     def places(self, parts: list[str]) -> np.ndarray:
-        """The numbers of the parts, which are encoded where they are new."""
-        if len(self.number) > self.most_parts or self.used > 4 * self.most_parts:
-            self._start_anew()
+        """The numbers of distinct parts, which are encoded where they are new."""
+        if len(self.number) > self.most:
+            self._forget()
         known = self.number
         missing = [p for p in parts if p not in known]
         if missing:
-            found = self.encode(missing)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            first, total = len(known), int(sizes.sum())
-            self._room(first + len(missing), self.used + total)
-            self.ids[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.int32, total)
-            self.starts[first : first + len(missing)] = self.used + np.cumsum(sizes) - sizes
-            self.sizes[first : first + len(missing)] = sizes
-            self.used += total
+            first = len(known)
             known.update(zip(missing, range(first, first + len(missing))))
-        return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+            self.seen = _grown(self.seen, first, np.zeros(len(missing), np.int32))
+            for k, encode in enumerate(self.encoders):
+                ids, sizes = encode(missing)
+                end = int(self.starts[k][first])
+                self.ids[k] = _grown(self.ids[k], end, ids)
+                self.starts[k] = _grown(self.starts[k], first + 1, end + np.cumsum(sizes))
+        at = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        self.seen[at] += 1
+        return at
+
+    def _forget(self) -> None:
+        n, least = len(self.number), 2
+        while (keep := np.flatnonzero(self.seen[:n] >= least)).size > self.most // 2:
+            least += 1
+        names = list(self.number)
+        self.number = {names[i]: j for j, i in enumerate(keep.tolist())}
+        self.seen = self.seen[keep]
+        for k in range(len(self.encoders)):
+            self.ids[k], sizes = self.gathered(k, keep)
+            self.starts[k] = np.concatenate(([0], np.cumsum(sizes)))
+
+    def gathered(self, k: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the parts at the places, one after the other, and how many each has."""
+        first = self.starts[k][places]
+        sizes = self.starts[k][places + 1] - first
+        stops = np.cumsum(sizes)
+        source = np.repeat(first - stops + sizes, sizes)
+        source += np.arange(len(source))
+        return self.ids[k][source], sizes
+
+
+def _grown(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``more`` after the first ``used`` entries; there is room for further ones behind them."""
+    if len(held) < used + len(more):
+        held = np.concatenate((held[:used], np.zeros(max(used, 2 * len(more), 1 << 10), held.dtype)))
+    held[used : used + len(more)] = more
+    return held
+
+
+def flat(found: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array and their lengths."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
 
 
 _CONTROL_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f]")
@@ -126,32 +154,35 @@ class JsonTokenizer:
     def whole(self, texts: list[str]) -> list[Sequence[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _lines(self, texts: list[str]) -> list[Sequence[int]]:
+    def _lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Texts without line ends, white space at their end, or more than one space at their start: one call for all."""
-        if not texts or _CONTROL_SPACE.search("".join(texts)):
-            # White space other than spaces could join the line ends put between the texts.
-            return self.whole(texts)
-        ids = np.array(self.whole([LINE_END.join(texts)])[0], np.int32)
-        ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
-        if len(ends) != len(texts):
-            return self.whole(texts)
-        return [ids[a:b] for a, b in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())]
-
-    def parts(self, parts: list[str]) -> list[Sequence[int]]:
-        marked = [p[1:] for p in parts if p[:1] == UNSPACED and len(p) > 1]
-        spaced = [f" {p}" for p in parts if p and p[:1] != UNSPACED and p != LINE_END]
-        first, later = iter(self._lines(marked)), iter(self._lines(spaced))
-        out = []
-        for p in parts:
-            if p == LINE_END:
-                out.append([self.line_end])
-            elif p == UNSPACED:
-                out.append([])
-            elif p == "":
-                out.append(self.whole([" "])[0])
-            else:
-                out.append(next(first if p[0] == UNSPACED else later))
-        return out
+        # White space other than spaces could join the line ends put between the texts.
+        if texts and not _CONTROL_SPACE.search("".join(texts)):
+            ids = np.array(self.whole([LINE_END.join(texts)])[0], np.int32)
+            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
+            if len(ends) == len(texts):
+                return np.delete(ids, ends[:-1]), np.diff(ends, prepend=-1) - 1
+        return flat(self.whole(texts))
+
+    def parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, one after the other, and how many each has.
+
+        Parts are marked with ``UNSPACED`` where they follow no space.
+        """
+        bare = np.array([p in ("", UNSPACED, LINE_END) for p in parts], bool)
+        marked = np.array([p[:1] == UNSPACED for p in parts], bool) & ~bare
+        total, out = np.zeros(len(parts), np.int64), {}
+        kinds = (
+            (marked, lambda own: self._lines([p[1:] for p in own])),
+            (~marked & ~bare, lambda own: self._lines([f" {p}" for p in own])),
+            (bare, lambda own: flat([{UNSPACED: [], LINE_END: [self.line_end]}[p] if p else self.whole([" "])[0] for p in own])),
+        )
+        for n, (mask, encode) in enumerate(kinds):
+            out[n], total[mask] = encode([parts[i] for i in np.flatnonzero(mask).tolist()])
+        ids = np.empty(total.sum(), np.int32)
+        for n, (mask, _) in enumerate(kinds):
+            ids[np.repeat(mask, total)] = out[n]
+        return ids, total
 
 
 class PartEncoder:
@@ -163,7 +194,7 @@ class PartEncoder:
 
     def __init__(self, whole: list[Callable], parts: list[Callable], *, first_spaced: bool, most_parts: int = KEPT_PARTS):
         self.whole, self.first_spaced = whole, first_spaced
-        self.kept = [Kept(encode, most_parts) for encode in parts]
+        self.kept = Kept(parts, most_parts)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per tokenizer the ids of all texts one after the other, and how many each text has."""
@@ -171,13 +202,16 @@ class PartEncoder:
         texts = as_strings(data, offsets)
         if self.first_spaced:
             fine &= np.diff(offsets) > 0
-        split = self._parts(texts.filter(pa.array(fine)))
+        distinct, order, bounds = self._parts(texts.filter(pa.array(fine)))
+        places = self.kept.places(distinct)[order]
         rest = texts.filter(pa.array(~fine)).to_pylist()
         out = []
         for k, encode in enumerate(self.whole):
-            ids, counts = self._gathered(self.kept[k], *split)
+            ids, sizes = self.kept.gathered(k, places)
+            stops = np.concatenate(([0], np.cumsum(sizes)))[bounds]
+            counts = np.diff(stops)
             if rest:
-                ids, counts = _interleaved(ids, counts, [np.array(i, np.int32) for i in encode(rest)], fine)
+                ids, counts = _interleaved(ids, counts, *flat(encode(rest)), fine)
             out.append((ids, counts))
         return out
 
@@ -191,20 +225,12 @@ class PartEncoder:
         bounds = np.concatenate(([0], np.cumsum(listed.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
         return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), bounds
 
-    def _gathered(self, kept: Kept, distinct: list[str], order: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        places = kept.places(distinct)[order]
-        sizes = kept.sizes[places].astype(np.int64)
-        stops = np.concatenate(([0], np.cumsum(sizes)))
-        source = np.arange(stops[-1]) + np.repeat(kept.starts[places] - stops[:-1], sizes)
-        return kept.ids[source], stops[bounds[1:]] - stops[bounds[:-1]]
-
 
-def _interleaved(ids: np.ndarray, counts: np.ndarray, others: list[np.ndarray], fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _interleaved(ids: np.ndarray, counts: np.ndarray, others: np.ndarray, sizes: np.ndarray, fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in order, from those of the ``fine`` ones and those of the others."""
     total = np.zeros(len(fine), np.int64)
-    total[fine], total[~fine] = counts, [len(o) for o in others]
-    stops = np.concatenate(([0], np.cumsum(total)))
-    out = np.empty(stops[-1], np.int32)
+    total[fine], total[~fine] = counts, sizes
+    out = np.empty(total.sum(), np.int32)
     own = np.repeat(fine, total)
-    out[own], out[~own] = ids, np.concatenate(others)
+    out[own], out[~own] = ids, others
     return out, total

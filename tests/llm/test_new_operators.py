@@ -261,15 +261,16 @@ def test_alignment_of_empty_and_tokenless_tables(spark):
     assert got == [(1, 0, 0, 0, 0, 0, 0, ""), (None, 0, 0, 0, 0, 0, 0, "")]
 
 
-def test_parts_that_outgrow_the_bound_start_anew():
+def test_parts_that_outgrow_the_bound_are_forgotten():
     side = parts.JsonTokenizer(A)
-    encode = parts.PartEncoder([side.whole], [side.parts], first_spaced=False, most_parts=3)
-    for texts in (["one two three four five"], ["six one\nseven", "", "two  spaced"], ["eight"]):
+    encode = parts.PartEncoder([side.whole], [side.parts], first_spaced=False, most_parts=6)
+    for texts in (["one two three four five six one"], ["six one\nseven two", "", "two  spaced"], ["eight one two nine\n"], ["ten one three\x0cx"], [" six", "two eight "]):
         raw = [t.encode() for t in texts]
         data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
         (ids, counts), = encode(data, offsets)
         want = side.whole(texts)
         assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert len(encode.kept.number) < 16
 
 
 # 6 Files of a bounded size
