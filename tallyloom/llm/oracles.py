@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import decontamination, periodic, warc
+from tallyloom.llm import decontamination, periodic, suffixes, warc
 from tallyloom.llm.secret_scan import BASE, RULES, Rule
 
 
@@ -168,8 +168,34 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id{kept}
 FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
 
 
+# Every start of a whole run, runs of equal bytes counted, their places put together; bytes are numbered from 1.
+_REPEATS = f"""
+WITH texts AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS raw, strlen(coalesce(text, '')) AS n FROM documents),
+starts AS MATERIALIZED (
+  SELECT doc_id, i, raw[i:i + {suffixes.SIZE - 1}] AS run FROM (SELECT *, unnest(range(1, n - {suffixes.SIZE - 2})) AS i FROM texts)
+),
+repeated AS (SELECT doc_id, i FROM starts JOIN (SELECT run FROM starts GROUP BY run HAVING count(*) > 1) USING (run)),
+marked AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {suffixes.SIZE}, 0) AS fresh FROM repeated
+),
+spans AS MATERIALIZED (
+  SELECT doc_id, min(i) AS start, max(i) + {suffixes.SIZE} AS stop
+  FROM (SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked) GROUP BY doc_id, span
+),
+gaps AS (
+  SELECT doc_id, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 1) AS a, start AS b FROM spans
+  UNION ALL SELECT doc_id, max(stop), any_value(n) + 1 FROM spans JOIN texts USING (doc_id) GROUP BY doc_id
+),
+kept AS (SELECT doc_id, string_agg(hex(raw[a:b - 1]), '' ORDER BY a) AS bytes FROM gaps JOIN texts USING (doc_id) WHERE b > a GROUP BY doc_id),
+counted AS (SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(raw) ELSE sha256(unhex(coalesce(bytes, ''))) END AS kept_sha256
+FROM texts LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_jaccard_join": _components(4, 85),
+        "op9_suffix_dedup": _REPEATS,
         "op12_minhash_near_dedup": _components(4, 80, ", doc_id = component_id AS kept"),
     } | {"op3_warc": _PAGES, "op5_secret_scan": _secrets(), "op10_decontamination": _CONTAMINATION, "op13_periodic_runs": _PERIODIC}
