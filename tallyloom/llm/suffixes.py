@@ -46,9 +46,13 @@ SPLIT = 2000
 OFFSET_BLOCK = 16
 
 
+# Three numbers below this fit into one of 63 bits.
+_NARROW = 1 << 21
+
+
 def _rank(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The sorting order, names from 1 in that order with equal keys sharing one, and the names used."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     fresh = np.ones(len(keys), bool)
     fresh[1:] = ordered[1:] != ordered[:-1]
@@ -71,8 +75,9 @@ def difference_cover_order(symbols: np.ndarray, reach: int, depth: int = 1) -> n
     # Position n stands in where n % 3 == 1, so that each third has its end in the cover.
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate((one, two))
-    triples = _rank(padded[sample] * base + padded[sample + 1])[1] * base + padded[sample + 2]
-    order, names, count = _rank(triples)
+    pairs = padded[sample] * base + padded[sample + 1]
+    # Three symbols fit into one number unless there are millions of different ones.
+    order, names, count = _rank((pairs if base < _NARROW else _rank(pairs)[1]) * base + padded[sample + 2])
     if count < len(sample) and 3 * depth < reach:
         order = difference_cover_order(names, reach, 3 * depth)
     rank = np.zeros(n + 3, np.int64)
@@ -82,11 +87,13 @@ def difference_cover_order(symbols: np.ndarray, reach: int, depth: int = 1) -> n
     zero = np.arange(0, n, 3)
     wide = len(sample) + 2
     zero_key = padded[zero] * wide + rank[zero + 1]
-    zero = zero[np.argsort(zero_key, kind="stable")]
+    zero = zero[np.argsort(zero_key)]
     # Merging: against positions 1 mod 3 one symbol and a rank decide, against 2 mod 3 two symbols and a rank.
     ones, twos = sample_order[sample_order % 3 == 1], sample_order[sample_order % 3 == 2]
     first = lambda at: padded[at] * wide + rank[at + 1]
-    pairs = _rank(np.concatenate((padded[zero] * base + padded[zero + 1], padded[twos] * base + padded[twos + 1])))[1]
+    pairs = np.concatenate((padded[zero] * base + padded[zero + 1], padded[twos] * base + padded[twos + 1]))
+    if max(base, wide) >= _NARROW:
+        pairs = _rank(pairs)[1]
     second = lambda named, at: named * wide + rank[at + 2]
     zero_two, twos_two = second(pairs[: len(zero)], zero), second(pairs[len(zero) :], twos)
     # Names tied at the cut of the recursion keep one order everywhere: running maxima make keys monotone.
@@ -101,7 +108,10 @@ def difference_cover_order(symbols: np.ndarray, reach: int, depth: int = 1) -> n
     before[is_one] = np.searchsorted(zero_first, ones_first, side="right")
     before[~is_one] = np.searchsorted(zero_two, twos_two, side="right")
     place[sample_order] = in_sample + monotone(before)
-    return np.argsort(place, kind="stable")
+    order = np.full(n, -1)
+    order[place] = np.arange(n)
+    # Ties beyond the reach may share a place.
+    return order if order.min() >= 0 else np.argsort(place)
 
 
 def _equal_runs(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
