@@ -33,7 +33,7 @@ from tallyloom.llm import parts as pt
 from tallyloom.llm import text as tx
 from tallyloom.scratch import written
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Entries compared first; the number doubles as long as they agree.
 PROBE = 4
 # A group of more pairs than this is summed up by distinct ids before its pairs are listed.

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Parts a worker keeps; half as many, the most frequent ones, when it has more.
-KEPT_PARTS = 400_000
+KEPT_PARTS = 300_000
 LINE_END = "\n"
 # Marks a part that follows no space.
 UNSPACED = "\0"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import compare
 import corpus_pipeline
-from tallyloom.llm import alignment, decontamination, jaccard, minhash, oracles, parts, periodic, queries, tokens, toxicity
+from tallyloom.llm import alignment, decontamination, jaccard, minhash, oracles, parts, periodic, queries, suffixes, tokens, toxicity
 from tallyloom.llm import text as tx
 from tallyloom.llm.shipping import ship
 
@@ -95,6 +95,35 @@ def test_stages_take_columns_of_any_name(spark, rows):
         out.collect()
 
 
+# 1 Neighbours on the given vectors
+
+
+def test_nine_in_ten_of_the_nearest_vectors_are_found(spark):
+    folder = "/root/testdata/sf0.01"
+    data = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    vectors, ids = np.stack(data.embedding.to_numpy()).astype(float), data.vec_id.to_numpy()
+    found = {}
+    for r in queries.registered()["op1_neighbours"](spark, folder).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    shares = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = vectors @ vectors[q]
+        order = [i for i in np.lexsort((ids, -score)) if i != q][:20]
+        shares.append(len(found[ids[q]] & set(ids[order].tolist())) / len(order))
+    assert len(shares) == len(found) and np.mean(shares) >= 0.9
+
+
+# 2 Languages of documents never learned from
+
+
+def test_held_out_documents_get_their_language(spark):
+    folder = "/root/testdata/sf0.01"
+    known = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = [r for r in queries.registered()["op2_language"](spark, folder).collect() if r.held_out and known[r.doc_id]]
+    assert len(rows) > 200 and np.mean([r.lang_pred == known[r.doc_id] for r in rows]) > 0.98
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows)
+
+
 # 8 Toxicity
 
 
@@ -273,6 +302,21 @@ def test_parts_that_outgrow_the_bound_are_forgotten():
     assert len(encode.kept.number) < 16
 
 
+# 9 Repeats
+
+
+def test_lines_of_one_byte_are_rows_with_a_number(spark):
+    docs = spark.createDataFrame([(1, "-" * 300_000 + "x"), (2, "=-" * 50_000), (3, "unlike " + "y" * 150)], "doc_id long, text string")
+    found = sorted(tuple(r)[:4] for r in suffixes.repeat_digest(suffixes.remove_repeats(docs)).collect())
+    assert found == [(1, 300_001, 300_000, 1), (2, 100_000, 100_000, 1), (3, 157, 0, 0)]
+
+
+def test_anchors_and_stretches_step_together():
+    owner, place = np.array([0, 0, 0, 1, 1, 1]), np.array([4, 5, 6, 7, 9, 10])
+    first, n = suffixes._stepping(owner, place=place)
+    assert first.tolist() == [0, 3, 4] and n.tolist() == [3, 1, 2]
+
+
 # 6 Files of a bounded size
 
 
