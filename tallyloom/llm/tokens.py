@@ -35,6 +35,8 @@ TAIL = struct.Struct("<QQQII8s")
 ENCODE_BYTES = 4 << 20
 FILE_IDS = 1 << 26
 READ_ROWS = 1 << 16
+# Parts a worker keeps the ids of.
+KEPT_PARTS = 700_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -146,7 +148,7 @@ class TokenFile:
 class Encoder:
     """Ids of whole texts, by the parts between spaces where the tokenizer allows it."""
 
-    def __init__(self, path: str, kept: int = parts.KEPT_PARTS):
+    def __init__(self, path: str, kept: int = KEPT_PARTS):
         self.tokenizer = parts.JsonTokenizer(path)
         self.vocabulary = self.tokenizer.vocabulary
         self.by_parts = parts.PartEncoder([self.tokenizer.whole], [self.tokenizer.parts], first_spaced=False, most_parts=kept) if self.tokenizer.by_parts else None
@@ -219,7 +221,7 @@ def write_tokens(
     return written(dealt.mapInArrow(run, FILE), "token-files")
 
 
-DOCUMENT = "part int, number int, doc_id bigint, local_start bigint, n_tokens bigint, ids_crc32 bigint"
+DOCUMENT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
@@ -228,7 +230,7 @@ def read_tokens(files: DataFrame) -> DataFrame:
     ``start`` counts the ids of all documents before it: those before it in its file, and those of
     earlier files, a running sum over the list of files.
     """
-    names = ["part", "number", "doc_id", "local_start", "n_tokens", "ids_crc32"]
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
     def run(batches):
         for batch in batches:
@@ -240,15 +242,11 @@ def read_tokens(files: DataFrame) -> DataFrame:
                         if len(sums) == READ_ROWS or document + 1 == len(file.doc_ids):
                             low, high = document + 1 - len(sums), document + 1
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(high - low, row[name], np.int32)) for name in names[:2]]
-                                + [pa.array(file.doc_ids[low:high], mask=file.nulls[low:high]), pa.array(file.starts[low:high]),
-                                   pa.array(np.diff(file.starts[low : high + 1])), pa.array(sums, pa.int64())], names=names)
+                                [pa.array(file.doc_ids[low:high], mask=file.nulls[low:high]), pa.array(row["before"] + file.starts[low:high]),
+                                 pa.array(np.diff(file.starts[low : high + 1])), pa.array(sums, pa.int64())], names=names)
                             sums = []
 
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    listed = files.select("part", "number", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
+    listed = files.select("part", "number", "path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
     partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    documents = files.repartition(partitions, "part", "number").mapInArrow(run, DOCUMENT)
-    return documents.join(listed, ["part", "number"]).select(
-        "doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    return listed.repartition(partitions, "part", "number").mapInArrow(run, DOCUMENT)
