@@ -391,7 +391,7 @@ def _shards(stretches: DataFrame, size: int, *done: DataFrame) -> tuple[DataFram
     """
     found = stored(stretches, "stretches", *done)
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    thinned = _thinned(found.where("part = 0")).select("name", "c1", "c2", "anchor", "bytes", "copies")
+    thinned = _thinned(found.where("part = 0")).select("name", "part", "c1", "c2", "anchor", "bytes", "copies")
     dealt = thinned.repartition(parts, "name").sortWithinPartitions("name", "c1", "c2")
 
     def sort(batches):
@@ -416,7 +416,7 @@ def _shards(stretches: DataFrame, size: int, *done: DataFrame) -> tuple[DataFram
             return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["c1", "c2", "first", "last"])
 
         for batch in batches:
-            for name, c1, c2, anchor, raw, copies in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for name, c1, c2, anchor, raw, copies in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6))):
                 if name != key:
                     if held_bytes >= SHARD_BYTES:
                         yield out()

@@ -116,6 +116,7 @@ class Model(NamedTuple):
     chosen: np.ndarray  # sorted buckets
     weights: np.ndarray
     bias: float  # a logit
+    constant: float | None = None  # the score of every text, where there were not labels of both kinds
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
@@ -151,7 +152,7 @@ def fit(
     total = counted[2 * BUCKETS : 2 * BUCKETS + 2]
     share = float(total[1] / max(1, total.sum()))
     if not total.all():
-        return Model(np.zeros(0, np.int64), np.zeros(0), np.inf if share else -np.inf)
+        return Model(np.zeros(0, np.int64), np.zeros(0), 0.0, share)
     kept = _telling(counted[:BUCKETS], counted[BUCKETS : 2 * BUCKETS], total, chosen)
     shared = docs.sparkSession.sparkContext.broadcast(kept)
     swap = swaps(groups)
@@ -244,8 +245,9 @@ def score_toxicity(docs: DataFrame, model: Model, *, doc_id="doc_id", text="text
                     at = np.minimum(np.searchsorted(model.chosen, bucket), len(model.chosen) - 1)
                     ok = model.chosen[at] == bucket
                     z += np.bincount(row[ok], model.weights[at[ok]], part.num_rows)
-                # Without labels of both kinds the bias is infinite and the score 0 or 1.
-                score = np.where(np.isinf(z), z > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
+                score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                if model.constant is not None:
+                    score[:] = model.constant
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], names=["id", "score"])
 
     return docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, led_by(docs, doc_id, "id", "score double"))
