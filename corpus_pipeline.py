@@ -18,6 +18,9 @@ from tallyloom.llm.queries import END_ID, tokenizer_path
 from tallyloom.llm.shipping import ship
 from tallyloom.scratch import written
 
+# Workers of the session keep the ids of so many parts; later stages run beside them.
+KEPT_PARTS = 100_000
+
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
@@ -42,7 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return tokens.read_tokens(tokens.write_tokens(docs, tokenizer_path(), END_ID))
+    files = tokens.write_tokens(docs, tokenizer_path(), END_ID, kept=KEPT_PARTS)
+    return tokens.read_tokens(files)
 
 
 STAGES = [

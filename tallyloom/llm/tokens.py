@@ -171,13 +171,13 @@ class Encoder:
         return out, counts + 1
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def _encoder(path: str, kept: int) -> Encoder:
+    if (path, kept) not in _encoders:
+        _encoders[path, kept] = Encoder(path, kept)
+    return _encoders[path, kept]
 
 
 FILE = "part int, number int, path string, n_docs bigint, n_ids bigint"
@@ -185,11 +185,13 @@ _FILE = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.str
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer: str, end_id: int, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS
+    docs: DataFrame, tokenizer: str, end_id: int, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS,
+    kept: int = KEPT_PARTS,
 ) -> DataFrame:
     """Writes the files and returns their list: ``part, number, path, n_docs, n_ids``, in id order by part, then number.
 
-    ``tokenizer`` names a tokenizers file that every executor has at that place; its path is only read.
+    ``tokenizer`` names a tokenizers file that every executor has at that place; its path is only read. Workers keep the ids
+    of ``kept`` parts, also after the job.
     """
     spark = docs.sparkSession
     folder = new_path(spark, "tokens")
@@ -199,7 +201,7 @@ def write_tokens(
     dealt = chosen.repartitionByRange(partitions, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(batches):
-        encoder, writer, uri, number = _encoder(tokenizer), None, None, 0
+        encoder, writer, uri, number = _encoder(tokenizer, kept), None, None, 0
 
         def closed():
             writer.close()
