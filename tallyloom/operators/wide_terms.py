@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import tokens
 
+# Bytes of text that one task of an index gives rows of. Parquet writers keep a dictionary of 1 MiB per column and file.
+TASK_TEXT = 600_000
+
 
 def checked_vocabulary(vocabulary: DataFrame) -> DataFrame:
     """``position, term``; empty, null and repeated terms raise, as they would make counts ambiguous."""
@@ -49,7 +52,11 @@ def index_table(articles: DataFrame, vocabulary: DataFrame, key: str = "title",
     """One row per vocabulary term and article that mentions it: ``term`` and all article columns.
 
     ``key`` tells articles apart. Only it and the tokens pass the join with the vocabulary; texts
-    are attached to hits afterwards.
+    are attached to hits afterwards. A text comes once per term, so the rows hold many times the articles' bytes:
+    articles are dealt by key over so many tasks that the different texts of one fit a Parquet writer's dictionary,
+    which then stores each text once. For their number the texts' lengths are added up in a pass of its own.
     """
+    size = articles.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = 1 + size // TASK_TEXT
     hits = article_tokens(articles, key, text=text).join(checked_vocabulary(vocabulary).where("position IS NOT NULL"), "term").select("term", key)
-    return hits.join(articles, key).select("term", *articles.columns)
+    return hits.repartition(tasks, key).join(articles.repartition(tasks, key), key).select("term", *articles.columns)

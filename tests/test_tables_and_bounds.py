@@ -82,6 +82,23 @@ def test_vocabulary_tables_give_what_lists_give(spark, rows):
     assert wide_terms.rank_table(articles.limit(0), vocabulary(spark, words)).count() == 0
 
 
+def test_rows_of_an_index_are_written_with_each_text_once(spark, tmp_path):
+    # Longer than the window of the writer's compression.
+    noise = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(2500)), lambda i: F.sha2(F.concat(F.col("id").cast("string"), i.cast("string")), 256)))
+    text = F.concat_ws(" ", noise, *[F.lit(f"w{k}") for k in range(10)])
+    spark.range(30).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("title"), text.alias("text")).write.parquet(f"{tmp_path}/articles")
+    index = wide_terms.index_table(spark.read.parquet(f"{tmp_path}/articles"), vocabulary(spark, [f"w{k}" for k in range(10)]))
+    index.write.parquet(f"{tmp_path}/index")
+    given, kept = (sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")) for name in ("articles", "index"))
+    assert spark.read.parquet(f"{tmp_path}/index").count() == 300 and kept < 3 * given
+
+
+def test_indexes_keep_rows_of_repeated_and_null_titles(spark, rows):
+    articles = spark.createDataFrame([("a", "x y"), ("a", "x"), (None, "x")], "title string, text string")
+    found = rows(wide_terms.index_table(articles, vocabulary(spark, ["x", "y"])))
+    assert Counter(found) == Counter({("x", "a", "x y"): 2, ("x", "a", "x"): 2, ("y", "a", "x y"): 1, ("y", "a", "x"): 1})
+
+
 # The stored index
 
 
