@@ -148,6 +148,35 @@ def test_copies_of_an_article_are_added_up(spark, rows):
     assert rows(stored_index.rank_stored(spark, index, ["y", "x"])) == [("x", 2), ("y", 1)]
 
 
+def test_an_index_shuffles_mentions_once(spark, many_articles):
+    mentions = wide_terms.article_tokens(many_articles, "title").select("term", "title")
+    frequent, total = stored_index._frequent(mentions, 200)
+    assert total == mentions.count() and rows_of(frequent) == {"hot": 30}
+    physical = stored_index._dealt_blocks(mentions, frequent, total, 8)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Aggregate|SortMergeJoin", physical) and physical.count("Exchange hashpartitioning") == 1
+
+
+def rows_of(frame):
+    return {row[0]: row[1] for row in frame.collect()}
+
+
+def test_blocks_that_go_on_over_batches(spark):
+    """Blocks of many batches, copies that lie in different ones, null titles."""
+    title = F.when(F.col("id") % 1000 < 999, F.concat(F.lit("a"), (F.col("id") % 1000).cast("string")))
+    mentions = spark.range(4000).select(F.when(F.col("id") % 1000 < 5, "rare").otherwise("hot").alias("term"), title.alias("title")).repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        index = stored_index.write_index(mentions, buckets=3, block_titles=500)
+        found = index.read(spark).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Counter({(r.term, e.title): e.copies for r in found for e in r.entries}) == Counter(tuple(r) for r in mentions.collect())
+    assert all(r.articles == sum(e.copies for e in r.entries) for r in found) and len({(r.term, r.block) for r in found}) == len(found)
+    for row in found:
+        titles = [e.title or "" for e in row.entries]
+        assert titles == sorted(set(titles))
+
+
 # Bounded k-means
 
 
