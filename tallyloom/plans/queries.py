@@ -27,6 +27,8 @@ RANGE_ROWS = 500
 # Small blocks, so that the test tables fill more than one.
 BLOCK_ANSWERS = 8
 BLOCK_TITLES = 100
+# Lines of a packed survey file.
+FILE_LINES = 1_000_000
 # Vectors sampled from weighted points.
 SAMPLED = 45
 
@@ -64,7 +66,9 @@ def _posting_file(spark: SparkSession, folder: str) -> str:
 
 
 def _survey_file(spark: SparkSession, folder: str) -> str:
-    survey = tables.survey(spark, folder).write.option("header", True)
+    """Packed, which a reader cannot split, and so in files of bounded size."""
+    packed = {"header": True, "compression": "gzip", "maxRecordsPerFile": FILE_LINES}
+    survey = tables.survey(spark, folder).write.options(**packed)
     return _stage(spark, folder, "survey", survey.csv)
 
 

@@ -3,10 +3,12 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from tallyloom import scratch
 from tallyloom.operators import timeuse
+from tallyloom.plans import queries, tables
 from tallyloom.sources import articles, files
 
 
@@ -69,6 +71,21 @@ def test_inferred_types(spark, rows, tmp_path):
     assert sorted(rows(frame)) == [("a", 1, 1.5), ("b", 2, 2.0)]
 
 
+def test_the_survey_file_is_packed_and_has_the_same_rows(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_LINES", 1500)
+    number = F.col("id").cast("long")
+    keys = [(number * k % 1000).alias(name) for k, name in ((7, "l_partkey"), (3, "l_suppkey"), (1, "l_orderkey"))]
+    lines = spark.range(20_000).select(*keys, (number / 1000).cast("int").alias("l_linenumber"), (number % 50).cast("double").alias("l_quantity"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    survey = tables.survey(spark, str(tmp_path))
+    survey.write.option("header", True).csv(f"{tmp_path}/plain")
+    found = queries.src_csv_infer(spark, str(tmp_path))
+    packed = [Path(file.removeprefix("file:")) for file in found.inputFiles()]
+    plain = list((tmp_path / "plain").glob("*.csv"))
+    assert 2 * sum(f.stat().st_size for f in packed) < sum(f.stat().st_size for f in plain) and len(packed) > len(plain)
+    assert sorted(rows(found)) == sorted(rows(survey))
+
+
 def test_typed_json(spark, rows, tmp_path):
     path = save(tmp_path, "p.json", '{"name": "Ann", "age": 3, "more": 1}', '{"name": "Bo"}')
     people = files.read_json(spark, path, "name string, age bigint")
