@@ -12,7 +12,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ KEPT_PARTS = 300_000
 LINE_END = "\n"
 # Marks a part that follows no space.
 UNSPACED = "\0"
+AFTER_LINE_END = chr(ord(LINE_END) + 1)
 
 # Lead bytes of the UTF-8 forms of white space and joiners beyond ASCII, and of the space mark U+2581.
 WIDE_SPACE = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE1, 0xA0), (0xE2, 0x80), (0xE2, 0x81), (0xE2, 0x96), (0xE3, 0x80), (0xEF, 0xBB))
@@ -75,17 +76,19 @@ class Kept:
         if len(self.number) > self.most:
             self._forget()
         known = self.number
-        missing = [p for p in parts if p not in known]
-        if missing:
+        at = np.fromiter(map(known.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(at < 0)
+        if new.size:
             first = len(known)
-            known.update(zip(missing, range(first, first + len(missing))))
-            self.seen = _grown(self.seen, first, np.zeros(len(missing), np.int32))
+            missing = [parts[i] for i in new.tolist()]
+            at[new] = np.arange(first, first + new.size)
+            known.update(zip(missing, range(first, first + new.size)))
+            self.seen = _grown(self.seen, first, np.zeros(new.size, np.int32))
             for k, encode in enumerate(self.encoders):
                 ids, sizes = encode(missing)
                 end = int(self.starts[k][first])
                 self.ids[k] = _grown(self.ids[k], end, ids)
                 self.starts[k] = _grown(self.starts[k], first + 1, end + np.cumsum(sizes))
-        at = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
         self.seen[at] += 1
         return at
 
@@ -157,8 +160,9 @@ class JsonTokenizer:
     def _lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Texts without line ends, white space at their end, or more than one space at their start: one call for all."""
         # White space other than spaces could join the line ends put between the texts.
-        if texts and not _CONTROL_SPACE.search("".join(texts)):
-            ids = np.array(self.whole([LINE_END.join(texts)])[0], np.int32)
+        joined = LINE_END.join(texts)
+        if texts and not _CONTROL_SPACE.search(joined):
+            ids = np.array(self.whole([joined])[0], np.int32)
             ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
             if len(ends) == len(texts):
                 return np.delete(ids, ends[:-1]), np.diff(ends, prepend=-1) - 1
@@ -169,8 +173,11 @@ class JsonTokenizer:
 
         Parts are marked with ``UNSPACED`` where they follow no space.
         """
-        bare = np.array([p in ("", UNSPACED, LINE_END) for p in parts], bool)
-        marked = np.array([p[:1] == UNSPACED for p in parts], bool) & ~bare
+        bare, marked = np.zeros(len(parts), bool), np.zeros(len(parts), bool)
+        # Only few parts begin with so low a character, and all that are bare or marked do.
+        for i in [i for i, p in enumerate(parts) if p < AFTER_LINE_END]:
+            bare[i] = parts[i] in ("", UNSPACED, LINE_END)
+            marked[i] = parts[i][:1] == UNSPACED and not bare[i]
         total, out = np.zeros(len(parts), np.int64), {}
         kinds = (
             (marked, lambda own: self._lines([p[1:] for p in own])),

@@ -485,3 +485,33 @@ def test_many_repeats_with_different_words_before_them():
     words = [w for i in range(3000) for w in (*line, 100 + i)]
     hashes = tx.mix(np.array(words, np.uint64))
     assert len(periodic.runs_of_words(hashes, np.array([0, len(words)]))[0]) == 0
+
+
+# Kept parts
+
+
+class Hashed(str):
+    """Counts how often a string is looked up."""
+
+    looked_up = 0
+
+    def __hash__(self):
+        Hashed.looked_up += 1
+        return str.__hash__(self)
+
+
+def test_known_parts_are_looked_up_once():
+    kept = parts.Kept([lambda new: parts.flat([[len(p)] for p in new])], 100)
+    assert kept.places(["a", "bcd"]).tolist() == [0, 1]
+    Hashed.looked_up = 0
+    assert kept.places([Hashed("bcd"), Hashed("a")]).tolist() == [1, 0] and Hashed.looked_up == 2
+    assert kept.places(["ef", "a", "", "bcd"]).tolist() == [2, 0, 3, 1] and kept.seen[:4].tolist() == [3, 3, 1, 1]
+    ids, sizes = kept.gathered(0, np.array([3, 2, 1]))
+    assert ids.tolist() == [0, 2, 3] and sizes.tolist() == [1, 1, 1]
+
+
+def test_odd_parts_get_the_ids_of_their_texts():
+    tokenizer = parts.JsonTokenizer(A)
+    texts = {"": " ", "\0": "", "\n": "\n", "\0ab": "ab", "ab": " ab", "\0\n": "\n", "\tx": " \tx", "\x01": " \x01", "\x0b": " \x0b", "é": " é"}
+    ids, sizes = tokenizer.parts(list(texts))
+    assert [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])] == [list(i) for i in tokenizer.whole(list(texts.values()))]
