@@ -20,6 +20,8 @@ from tallyloom.scratch import written
 
 # Workers of the session keep the ids of so many parts; later stages run beside them.
 KEPT_PARTS = 100_000
+# They encode less text at once than for token files alone: executors come here with a heap grown by the joins.
+ENCODE_BYTES = 1 << 20
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    files = tokens.write_tokens(docs, tokenizer_path(), END_ID, kept=KEPT_PARTS)
+    files = tokens.write_tokens(docs, tokenizer_path(), END_ID, kept=KEPT_PARTS, encode_bytes=ENCODE_BYTES)
     return tokens.read_tokens(files)
 
 

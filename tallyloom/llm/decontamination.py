@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import text as tx
 from tallyloom.llm.shapes import led_by
+from tallyloom.llm.workers import releasing
 
 WINDOW = 13
 BLOCK_CHARS = 4 << 20
@@ -223,7 +224,7 @@ def benchmark_matches(
     )
     blocks = benchmark_blocks(benchmark, item_id, item_text, block_chars)
     for items in blocks:
-        found = found.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(items), window), shape)
+        found = found.mapInArrow(releasing(_search(docs.sparkSession.sparkContext.broadcast(items), window)), shape)
     return found
 
 

@@ -39,6 +39,7 @@ from tallyloom.llm import tables
 from tallyloom.llm import text as tx
 from tallyloom.llm.components import components
 from tallyloom.llm.stages import stored
+from tallyloom.llm.workers import releasing
 
 # Sets above this size are never light: their subsets outnumber any list.
 LIGHT_MOST = 24
@@ -136,7 +137,7 @@ def _frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
                     np.add.at(table, (elements % np.uint64(tables.SLOTS)).astype(np.int64), 1)
         yield from tables.as_chunks(table)
 
-    return tables.added_up(docs.select("text").mapInArrow(run, tables.SHAPE))
+    return tables.added_up(docs.select("text").mapInArrow(releasing(run), tables.SHAPE))
 
 
 def _sets(docs: DataFrame, rule: Rule, load) -> DataFrame:
@@ -161,7 +162,7 @@ def _sets(docs: DataFrame, rule: Rule, load) -> DataFrame:
                     names=["doc_id", "k1", "k2", "cls", "n", "scan", "parity", "fine"],
                 )
 
-    return stored(docs.mapInArrow(run, shape), "sets")
+    return stored(docs.mapInArrow(releasing(run), shape), "sets")
 
 
 def light_boundary(sizes: list[tuple[int, int, int]], rule: Rule) -> int:
@@ -225,7 +226,7 @@ def _postings(docs: DataFrame, rule: Rule, load, boundary: int) -> DataFrame:
                     names=["light", "element", "cls", "n", "pos"],
                 )
 
-    return stored(docs.select("text").mapInArrow(run, shape), "postings")
+    return stored(docs.select("text").mapInArrow(releasing(run), shape), "postings")
 
 
 def _overlap(rule: Rule, s: Column, t: Column) -> Column:
@@ -268,7 +269,7 @@ def _finely(pairs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
                 keep[i] = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum()) <= allowed[i]
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(releasing(run), "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
@@ -295,7 +296,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, rule: Rule)
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "elements"])
 
-    whole = docs.select("text").mapInArrow(run, "cls bigint, elements binary")
+    whole = docs.select("text").mapInArrow(releasing(run), "cls bigint, elements binary")
     whole = stored(whole.join(ends.distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("elements").alias("elements")), "whole-sets")
     first = whole.select(F.col("cls").alias("a"), F.col("elements").alias("left"))
     second = whole.select(F.col("cls").alias("b"), F.col("elements").alias("right"))
@@ -311,7 +312,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, rule: Rule)
             numbers = np.array(rows, np.int32).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(numbers[:, i]) for i in range(3))], names=["a", "b", "overlap", "n_a", "n_b"])
 
-    counted = joined.mapInArrow(check, "a bigint, b bigint, overlap int, n_a int, n_b int")
+    counted = joined.mapInArrow(releasing(check), "a bigint, b bigint, overlap int, n_a int, n_b int")
     enough = F.lit(100 + rule.percent) * F.col("overlap") >= F.lit(rule.percent) * (F.col("n_a") + F.col("n_b"))
     return stored(counted.where(enough), "links", pairs, whole)
 

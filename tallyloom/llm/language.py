@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 from tallyloom.llm import text as tx
 from tallyloom.llm.letters import letter_words
 from tallyloom.llm.shapes import led_by
+from tallyloom.llm.workers import releasing
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 CHUNK = 1 << 12
+# Text worked on at once: a piece takes over a hundred times its bytes in arrays of letters.
+PIECE_BYTES = 1 << 19
 SWITCH_PENALTY = 12.0
 # No single word says more than this against another language.
 MOST_PER_WORD = 8.0
@@ -133,7 +136,7 @@ def count_features(labelled: DataFrame) -> DataFrame:
     def run(batches):
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            for rows, data, offsets in tx.pieces(batch, "text"):
+            for rows, data, offsets in tx.pieces(batch, "text", PIECE_BYTES):
                 if not len(data):
                     continue
                 words, _ = _words(data, offsets)
@@ -161,7 +164,7 @@ def count_features(labelled: DataFrame) -> DataFrame:
         return frame.iloc[:1].assign(counts=[total.tobytes()])
 
     shape = "lang string, chunk int, salt int, counts binary"
-    tables = labelled.select("lang", "text").mapInArrow(run, "lang string, chunk int, counts binary")
+    tables = labelled.select("lang", "text").mapInArrow(releasing(run), "lang string, chunk int, counts binary")
     some = tables.withColumn("salt", F.spark_partition_id() % 64).groupBy("lang", "chunk", "salt").applyInPandas(add, shape)
     return some.groupBy("lang", "chunk").applyInPandas(add, shape).select("lang", "chunk", "counts")
 
@@ -244,7 +247,7 @@ def _label(shared, penalty: float):
         model = shared.value
         names = pa.array([*model.languages, UNKNOWN])
         # The Viterbi tables hold a square of the languages per block.
-        limit = max(1 << 16, int(tx.PIECE_BYTES * min(1.0, (16 / max(1, len(model.languages))) ** 2)))
+        limit = max(1 << 16, int(PIECE_BYTES * min(1.0, (16 / max(1, len(model.languages))) ** 2)))
         for batch in batches:
             for rows, data, offsets in tx.pieces(batch, "text", limit):
                 n = rows.num_rows
@@ -288,7 +291,7 @@ def label_languages(docs: DataFrame, model: Model, *, doc_id="doc_id", text="tex
     """
     shape = led_by(docs, doc_id, "id", "lang_pred string, score double, spans array<struct<lang:string, start:int, stop:int>>")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(_label(shared, penalty), shape)
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(releasing(_label(shared, penalty)), shape)
 
 
 def held_out(doc_id: str = "doc_id"):

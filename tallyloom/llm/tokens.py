@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import parts, storage
 from tallyloom.llm import text as tx
+from tallyloom.llm.workers import releasing
 from tallyloom.scratch import new_path, written
 
 BLOCK = 1 << 16
@@ -186,12 +187,12 @@ _FILE = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.str
 
 def write_tokens(
     docs: DataFrame, tokenizer: str, end_id: int, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS,
-    kept: int = KEPT_PARTS,
+    kept: int = KEPT_PARTS, encode_bytes: int = ENCODE_BYTES,
 ) -> DataFrame:
     """Writes the files and returns their list: ``part, number, path, n_docs, n_ids``, in id order by part, then number.
 
     ``tokenizer`` names a tokenizers file that every executor has at that place; its path is only read. Workers keep the ids
-    of ``kept`` parts, also after the job.
+    of ``kept`` parts, also after the job, and encode ``encode_bytes`` of text at once.
     """
     spark = docs.sparkSession
     folder = new_path(spark, "tokens")
@@ -209,7 +210,7 @@ def write_tokens(
             return pa.RecordBatch.from_pylist([row], _FILE)
 
         for batch in batches:
-            for rows, data, offsets in tx.pieces(batch, "text", ENCODE_BYTES):
+            for rows, data, offsets in tx.pieces(batch, "text", encode_bytes):
                 if writer is None:
                     uri, stream = storage.new_file(folder, "ids", ".tok")
                     writer = TokenWriter(stream, bits_for(max(encoder.vocabulary, end_id + 1)), block)
@@ -220,7 +221,7 @@ def write_tokens(
         if writer is not None:
             yield closed()
 
-    return written(dealt.mapInArrow(run, FILE), "token-files")
+    return written(dealt.mapInArrow(releasing(run), FILE), "token-files")
 
 
 DOCUMENT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -251,4 +252,4 @@ def read_tokens(files: DataFrame) -> DataFrame:
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     listed = files.select("part", "number", "path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
     partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return listed.repartition(partitions, "part", "number").mapInArrow(run, DOCUMENT)
+    return listed.repartition(partitions, "part", "number").mapInArrow(releasing(run), DOCUMENT)
