@@ -34,6 +34,13 @@ SAMPLE_ROWS = 20_000
 SHARD_ROWS = 8_192
 MOST_CELLS = 1 << 12
 LEAF = 64
+# Queries searched together, their distances from boxes at once, rows multiplied with them at once, pairs scored at once
+# and pairs held before they are cut to the best.
+BATCH_QUERIES = 1_024
+BATCH_BOXES = 1 << 17
+RUN_ROWS = 1_024
+SCORED_PAIRS = 1 << 12
+MOST_PAIRS = 1 << 18
 SEED = 7
 
 
@@ -113,44 +120,108 @@ def build_tree(points: np.ndarray, leaf: int = LEAF) -> Tree:
     return Tree(np.array([points[r].min(axis=0) for r in rows]), np.array([points[r].max(axis=0) for r in rows]), rows)
 
 
-def _box_distances(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    outside = np.maximum(np.maximum(low - point, point - high), 0)
-    return (outside * outside).sum(axis=1)
+def _box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distances of points from boxes: a row per point."""
+    outside = np.maximum(np.maximum(low - points[:, None], points[:, None] - high), 0)
+    return (outside * outside).sum(axis=2)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best ``k``, each pair of id and score once."""
-    order = np.lexsort((ids, -scores))
-    ids, scores = ids[order], scores[order]
+class Found(NamedTuple):
+    """Neighbours found, by number of the query, best first."""
+
+    query: np.ndarray
+    ids: np.ndarray
+    scores: np.ndarray
+
+
+def _best(found: list[Found], k: int) -> Found:
+    """The best ``k`` of each query, each pair of id and score once."""
+    query, ids, scores = (np.concatenate(column) for column in zip(*found))
+    order = np.lexsort((ids, -scores, query))
+    query, ids, scores = query[order], ids[order], scores[order]
     fresh = np.ones(len(ids), bool)
-    fresh[1:] = (ids[1:] != ids[:-1]) | (scores[1:] != scores[:-1])
-    return ids[fresh][:k], scores[fresh][:k]
+    fresh[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1]) | (scores[1:] != scores[:-1])
+    query, ids, scores = query[fresh], ids[fresh], scores[fresh]
+    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return Found(query[keep], ids[keep], scores[keep])
+
+
+def _kth(found: Found, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The queries that have ``k`` neighbours, and the score of the last."""
+    last = np.flatnonzero(np.arange(len(found.query)) - np.searchsorted(found.query, found.query) == k - 1)
+    return found.query[last], found.scores[last]
+
+
+def search_batch(tree: Tree, points: np.ndarray, ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, at: np.ndarray, own: np.ndarray,
+                 top: float, k: int, worst: np.ndarray, factor: float) -> Found:
+    """Ids and inner products of the best ``k`` in the shard of each query; ``worst`` are known squared distances of their k-th.
+
+    Queries go through their leaves in step, each in its own order. The queries that come to a leaf are multiplied with
+    its vectors at once; only pairs that may enter a query's best are then checked and scored one by one.
+    Candidates worse than a known k-th may be left out.
+    """
+    worst = worst.copy()
+    base = top + (queries * queries).sum(axis=1)
+    # Rounding of a product is far below this.
+    room = 1e-9 * base
+    enough = (base - worst) / 2 - room
+    enough[~np.isfinite(enough)] = -inf
+    near = _box_distances(at, tree.low, tree.high)
+    order = np.argsort(near, axis=1, kind="stable")
+    found = Found(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    place, step = 0, 1
+    while place < order.shape[1]:
+        visited = order[:, place : place + step]
+        reach = np.take_along_axis(near, visited, axis=1) <= (worst * factor)[:, None]
+        if not reach.any():
+            break
+        place, step = place + step, min(2 * step, 64)
+        asking, column = np.nonzero(reach)
+        leaf = visited[asking, column]
+        by_leaf = np.argsort(leaf, kind="stable")
+        asking, leaf = asking[by_leaf], leaf[by_leaf]
+        edges = np.append(np.flatnonzero(np.diff(leaf, prepend=-1)), len(leaf))
+        fresh, held = [found], 0
+        for low, high in zip(edges, edges[1:]):
+            who = asking[low:high]
+            for rows in _runs(tree.rows[leaf[low]]):
+                near_enough = ~(vectors[rows] @ queries[who].T < enough[who])
+                row, query = np.nonzero(near_enough)
+                row, query = rows[row], who[query]
+                apart = points[row] - at[query]
+                fine = (ids[row] != own[query]) & (np.isinf(worst[query]) | ((apart * apart).sum(axis=1) <= worst[query] * factor))
+                row, query = row[fine], query[fine]
+                fresh.append(Found(query, ids[row], _scores(vectors, queries, row, query)))
+                held += len(row)
+                if held > MOST_PAIRS:
+                    fresh, held = [_best(fresh, k)], 0
+        found = _best(fresh, k)
+        full, score = _kth(found, k)
+        # A hair of room, so that rounding never closes out equal scores.
+        worst[full] = np.minimum(worst[full], np.maximum(base[full] - 2 * score, 0) * (1 + 1e-9) + 1e-12)
+        enough[full] = np.maximum(enough[full], score - room[full])
+    return found
 
 
 def search(tree: Tree, points: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, point: np.ndarray, own: int,
            top: float, k: int, worst: float, factor: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and inner products of a query's best ``k`` in the shard; ``worst`` is a known squared distance of its k-th."""
-    base = top + float(query @ query)
-    near = _box_distances(point, tree.low, tree.high)
-    order = np.argsort(near, kind="stable")
-    found_ids, found = np.zeros(0, np.int64), np.zeros(0)
-    at, step = 0, 1
-    while at < len(order) and near[order[at]] <= worst * factor:
-        rows = np.concatenate([tree.rows[i] for i in order[at : at + step] if near[i] <= worst * factor])
-        at, step = at + step, min(2 * step, 64)
-        if worst < inf:
-            apart = points[rows] - point
-            rows = rows[(apart * apart).sum(axis=1) <= worst * factor]
-        rows = rows[ids[rows] != own]
-        if not len(rows):
-            continue
-        found = np.concatenate((found, (vectors[rows] * query).sum(axis=1)))
-        found_ids = np.concatenate((found_ids, ids[rows]))
-        found_ids, found = _best(found_ids, found, k)
-        if len(found) == k:
-            # A hair of room, so that rounding never closes out equal scores.
-            worst = min(worst, max(base - 2 * float(found.min()), 0) * (1 + 1e-9) + 1e-12)
-    return found_ids, found
+    """The same for one query."""
+    found = search_batch(tree, points, ids, vectors, query[None], point[None], np.array([own]), top, k, np.array([worst], float), factor)
+    return found.ids, found.scores
+
+
+def _scores(vectors: np.ndarray, queries: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of pairs, each by itself, so that equal vectors have equal scores."""
+    out = np.empty(len(row))
+    for i in range(0, len(row), SCORED_PAIRS):
+        some = slice(i, i + SCORED_PAIRS)
+        out[some] = (vectors[row[some]] * queries[query[some]]).sum(axis=1)
+    return out
+
+
+def _runs(rows: np.ndarray) -> list[np.ndarray]:
+    """A leaf's rows in runs; only leaves of equal points are long."""
+    return [rows[i : i + RUN_ROWS] for i in range(0, len(rows), RUN_ROWS)]
 
 
 def _dense(column: pa.Array, length: int) -> np.ndarray:
@@ -191,7 +262,7 @@ def _searched(rows: DataFrame, shared, length: int, k: int, factor: float) -> Da
             asks = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             ids, worst = batch.column(3).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
             dense = _dense(batch.column(5), length)
-            out: list[tuple] = []
+            out: list[Found] = []
             edges = np.flatnonzero(np.diff(cell) | np.diff(salt) | np.diff(asks.astype(np.int8))) + 1
             for low, high in zip([0, *edges], [*edges, len(cell)]):
                 if low == high:
@@ -205,12 +276,14 @@ def _searched(rows: DataFrame, shared, length: int, k: int, factor: float) -> Da
                     continue
                 index = index or build()
                 points = cells.project(dense[low:high], False)
-                for i in range(low, high):
-                    bound = inf if np.isnan(worst[i]) else worst[i]
-                    found, score = search(*index[:1], *index[1:], dense[i], points[i - low], ids[i], cells.top, k, bound, factor)
-                    out.append((np.full(len(found), ids[i]), found, score))
+                bounds = np.where(np.isnan(worst[low:high]), inf, worst[low:high])
+                step = min(BATCH_QUERIES, max(1, BATCH_BOXES // len(index[0].rows)))
+                for first in range(low, high, step):
+                    some, own = slice(first, min(first + step, high)), slice(first - low, first - low + step)
+                    found = search_batch(*index, dense[some], points[own], ids[some], cells.top, k, bounds[own], factor)
+                    out.append(found._replace(query=ids[some][found.query]))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[j] for o in out])) for j in range(3)], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in zip(*out)], names=["query_id", "vec_id", "score"])
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "cell", "salt").sortWithinPartitions("cell", "salt", "query")
@@ -286,18 +359,21 @@ def nearest_neighbours(
                 ids, cell, worst = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
                 at = shared.value.project(_dense(batch.column(3), most["length"]), False)
                 take, into, salt = [], [], []
-                for i in range(len(ids)):
-                    own = known == cell[i]
+                step = max(1, BATCH_BOXES // len(known))
+                for first in range(0, len(ids), step):
+                    some = slice(first, first + step)
+                    own = known == cell[some, None]
                     if not home:
-                        reach = inf if np.isnan(worst[i]) else worst[i] * factor
-                        own = ~own & (_box_distances(at[i], lows, highs) <= reach)
-                    for c in np.flatnonzero(own):
-                        take += [i] * parts[c]
-                        into += [known[c]] * parts[c]
-                        salt += range(parts[c])
-                n, taken = len(take), pa.array(take, pa.int32())
+                        reach = np.where(np.isnan(worst[some]), inf, worst[some] * factor)
+                        own = ~own & (_box_distances(at[some], lows, highs) <= reach[:, None])
+                    asking, c = np.nonzero(own)
+                    take.append(np.repeat(first + asking, parts[c]))
+                    into.append(np.repeat(known[c], parts[c]))
+                    salt.append(np.arange(parts[c].sum()) - np.repeat(np.cumsum(parts[c]) - parts[c], parts[c]))
+                take, into, salt = (np.concatenate([np.zeros(0, np.int64), *column]) for column in (take, into, salt))
+                n, taken = len(take), pa.array(take)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(into, pa.int32()), pa.array(salt, pa.int32()), pa.array(np.ones(n, bool)), batch.column(0).take(taken), batch.column(2).take(taken), batch.column(3).take(taken)],
+                    [pa.array(into.astype(np.int32)), pa.array(salt.astype(np.int32)), pa.array(np.ones(n, bool)), batch.column(0).take(taken), batch.column(2).take(taken), batch.column(3).take(taken)],
                     names=["cell", "salt", "query", "id", "worst", "vector"],
                 )
 
