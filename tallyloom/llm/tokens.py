@@ -187,15 +187,16 @@ _FILE = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.str
 
 def write_tokens(
     docs: DataFrame, tokenizer: str, end_id: int, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS,
-    kept: int = KEPT_PARTS, encode_bytes: int = ENCODE_BYTES,
+    kept: int = KEPT_PARTS, encode_bytes: int | None = None,
 ) -> DataFrame:
     """Writes the files and returns their list: ``part, number, path, n_docs, n_ids``, in id order by part, then number.
 
     ``tokenizer`` names a tokenizers file that every executor has at that place; its path is only read. Workers keep the ids
-    of ``kept`` parts, also after the job, and encode ``encode_bytes`` of text at once.
+    of ``kept`` parts, also after the job, and encode ``encode_bytes`` of text at once, ``ENCODE_BYTES`` by default.
     """
     spark = docs.sparkSession
     folder = new_path(spark, "tokens")
+    at_once = ENCODE_BYTES if encode_bytes is None else encode_bytes
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chosen = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # The text's hash parts the copies of one id, should it hold many rows.
@@ -210,7 +211,7 @@ def write_tokens(
             return pa.RecordBatch.from_pylist([row], _FILE)
 
         for batch in batches:
-            for rows, data, offsets in tx.pieces(batch, "text", encode_bytes):
+            for rows, data, offsets in tx.pieces(batch, "text", at_once):
                 if writer is None:
                     uri, stream = storage.new_file(folder, "ids", ".tok")
                     writer = TokenWriter(stream, bits_for(max(encoder.vocabulary, end_id + 1)), block)

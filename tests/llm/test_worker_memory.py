@@ -9,7 +9,8 @@ import weakref
 import numpy as np
 import pyarrow as pa
 
-from tallyloom.llm import language, workers
+from tallyloom.llm import language, queries, tokens, workers
+from tallyloom.llm.shipping import ship
 
 
 class Shared:
@@ -76,3 +77,14 @@ def test_memory_that_a_task_freed_goes_back_to_the_system():
     before = resident()
     list(workers.releasing(run)(iter([1])))
     assert resident() - before < 64 << 20
+
+
+def test_token_files_do_not_depend_on_the_text_encoded_at_once(spark):
+    ship(spark)
+    frame = spark.createDataFrame([(i, f"text {i} of many " * (i % 7)) for i in range(200)], "doc_id long, text string")
+    path = queries.tokenizer_path()
+    read = [
+        sorted(tuple(r) for r in tokens.read_tokens(tokens.write_tokens(frame, path, 2, **options)).collect())
+        for options in ({}, {"kept": 50, "encode_bytes": 128})
+    ]
+    assert read[0] == read[1] and len(read[0]) == 200
